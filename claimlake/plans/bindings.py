@@ -155,8 +155,8 @@ def events(spark: SparkSession, d: str) -> DataFrame:
         F.col("event_id").alias("event_seq"))
 
 
-def journeys(spark: SparkSession, d: str) -> DataFrame:
-    e = events(spark, d)
+def journeys(spark: SparkSession, d: str, event_rows: DataFrame | None = None) -> DataFrame:
+    e = events(spark, d) if event_rows is None else event_rows
     m = members(spark, d).select("member_id", "tpa")
     last = F.max("event_date")
     return (e.join(m, "member_id")
@@ -168,7 +168,11 @@ def journeys(spark: SparkSession, d: str) -> DataFrame:
              .select("journey_id", "member_id", "tpa", F.col("event_type").alias("journey_type"), "start_date",
                      F.when(F.col("_last") < F.lit(JOURNEY_OPEN_FROM), F.col("_last")).alias("end_date"),
                      (F.col("_last") >= F.lit(JOURNEY_OPEN_FROM)).alias("is_active"),
-                     "total_cost", "num_visits", "num_providers"))
+                     "total_cost", "num_visits", "num_providers")
+             .withColumn("current_stage", F.when(F.col("is_active"), "IN_PROGRESS").otherwise("COMPLETED"))
+             .withColumn("quality_score", F.when(~F.col("is_active"), 3 + F.col("num_visits") % 3).cast("int"))
+             .withColumn("patient_satisfaction",
+                         F.when(~F.col("is_active"), 3 + F.col("num_providers") % 3).cast("int")))
 
 
 def logs(spark: SparkSession, d: str) -> DataFrame:

@@ -73,11 +73,16 @@ select concat('EVT-', e.event_id) as event_id, concat('JRN-', e.user_id, '-', e.
  cast(e.ts as date) as event_date, cast(e.value as decimal(18,2)) as cost, cast(regexp_replace(e.props,'[^0-9]','','g') as int) as provider_id,
  e.event_id as event_seq
 from events e"""),
-    "v_journey": (("v_event", "v_member"), """
+    "v_journey0": (("v_event", "v_member"), """
 select e.journey_id, e.member_id, m.tpa, e.event_type as journey_type, min(e.event_date) as start_date,
  case when max(e.event_date) < date '2024-01-27' then max(e.event_date) end as end_date, max(e.event_date) >= date '2024-01-27' as is_active,
  cast(sum(e.cost) as decimal(18,2)) as total_cost, count(*) as num_visits, count(distinct e.provider_id) as num_providers
 from v_event e join v_member m on e.member_id=m.member_id group by e.journey_id, e.member_id, m.tpa, e.event_type"""),
+    "v_journey": (("v_journey0",), """
+select *, case when is_active then 'IN_PROGRESS' else 'COMPLETED' end as current_stage,
+ cast(case when not is_active then 3 + num_visits % 3 end as int) as quality_score,
+ cast(case when not is_active then 3 + num_providers % 3 end as int) as patient_satisfaction
+from v_journey0"""),
     "v_log": ((), """
 select event_id as log_id, ts as log_timestamp,
  case when event_type='error' then 'ERROR' when event_type='signup' then 'WARNING' else 'INFO' end as log_level,
