@@ -15,6 +15,8 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimlake.session import cut_lineage
+
 
 def with_sequence_id(df: DataFrame, order_cols: list[str], name: str = "record_id",
                      start: int = 1, num_partitions: int | None = None) -> DataFrame:
@@ -25,17 +27,21 @@ def with_sequence_id(df: DataFrame, order_cols: list[str], name: str = "record_i
     # recomputed task (lost executor) yields the same positions.
     tie = [c for c in df.columns if c not in order_cols and _orderable(df, c)]
     keys = [F.col(c).asc_nulls_first() for c in order_cols + tie]
-    # An explicit partition count keeps AQE from coalescing these partitions,
-    # so partition ids agree between the counting job and the final job.
-    ranged = (df.repartitionByRange(num_partitions, *keys[:len(order_cols)])
-                .sortWithinPartitions(*keys)
-                .withColumn("_seq_pid", F.spark_partition_id())
-                .withColumn("_seq_mono", F.monotonically_increasing_id()))
+    # Range bounds are sampled per job (the sampling seed depends on the RDD
+    # id), so the sorted partitions are materialised once with a reliable
+    # checkpoint in the shared checkpoint folder: the counting pass and the
+    # numbering pass then read identical partitions, and a lost executor
+    # re-reads them instead of re-sampling.
+    ranged = cut_lineage(df.repartitionByRange(num_partitions, *keys[:len(order_cols)])
+                           .sortWithinPartitions(*keys))
+    ranged = (ranged.withColumn("_seq_pid", F.spark_partition_id())
+                    .withColumn("_seq_mono", F.monotonically_increasing_id()))
     counts = {r["_seq_pid"]: r["n"] for r in
               ranged.groupBy("_seq_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    sizes = [counts.get(i, 0) for i in range(num_partitions)]
+    # A range exchange may produce fewer partitions than asked for.
+    sizes = [counts.get(i, 0) for i in range(max(counts, default=-1) + 1)]
     offsets = [0] + list(accumulate(sizes))[:-1]
-    offset_arr = F.array(*[F.lit(int(o)) for o in offsets])
+    offset_arr = F.array(*[F.lit(int(o)) for o in offsets] or [F.lit(0)])
     # monotonically_increasing_id = (partition id << 33) + position in partition
     pos = F.col("_seq_mono") - F.shiftleft(F.col("_seq_pid").cast("bigint"), 33)
     out = ranged.withColumn(

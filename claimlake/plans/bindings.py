@@ -117,7 +117,7 @@ def queue(spark: SparkSession, d: str) -> DataFrame:
                      F.when(st == "F", "SUCCESS").when(st == "P", "FAILED").when(k % 5 == 0, "PROCESSING")
                       .otherwise("PENDING").alias("status"),
                      F.col("o_orderdate").alias("discovered_timestamp"),
-                     F.when(st.isin("F", "P"), F.timestampadd("SECOND", (k % 3600).cast("int"), F.col("o_orderdate")))
+                     F.when(st.isin("F", "P"), F.timestamp_add("SECOND", (k % 3600).cast("int"), F.col("o_orderdate")))
                       .alias("processed_timestamp"),
                      (k % 5).cast("int").alias("retry_count"))
              .withColumn("file_type", file_type("file_name")))
@@ -139,7 +139,7 @@ def raw_rows(spark: SparkSession, d: str) -> DataFrame:
         F.row_number().over(w).cast("bigint").alias("file_row_number"),
         "tpa", obj.alias("raw_data"),
         file_type(F.concat(F.lit("x"), suffix)).alias("file_type"),
-        F.timestampadd("SECOND", (k % 3600).cast("int"), F.col("received_date").cast("timestamp_ntz")).alias("load_timestamp"),
+        F.timestamp_add("SECOND", (k % 3600).cast("int"), F.col("received_date").cast("timestamp_ntz")).alias("load_timestamp"),
         F.lit("loader").alias("loaded_by"))
 
 
@@ -186,3 +186,13 @@ def logs(spark: SparkSession, d: str) -> DataFrame:
         F.when(u % 3 == 0, "BRONZE").when(u % 3 == 1, "SILVER").otherwise("GOLD").alias("log_source"),
         F.concat(F.lit("event "), et, F.lit(" user "), u.cast("string")).alias("message"),
         F.col("user_id").alias("user_id"), F.col("value").alias("value"), F.col("props").alias("details"))
+
+
+def listing(spark: SparkSession, d: str) -> DataFrame:
+    """Stage listing: every queued file sits in the stage its status implies."""
+    q = queue(spark, d)
+    st = F.col("status")
+    return q.select(
+        F.when(st == "SUCCESS", "COMPLETED").when(st == "FAILED", "ERROR").otherwise("SRC").alias("stage"),
+        "file_name", F.col("file_size_bytes").alias("size"),
+        F.coalesce("processed_timestamp", "discovered_timestamp").alias("modification_time"))

@@ -68,6 +68,10 @@ select record_id,
  cast(received_date as timestamp) + interval '1' second * (order_key % 3600) as load_timestamp,
  'loader' as loaded_by
 from v_claim_id"""),
+    "v_listing": (("v_queue",), """
+select case status when 'SUCCESS' then 'COMPLETED' when 'FAILED' then 'ERROR' else 'SRC' end as stage,
+ file_name, file_size_bytes as size, coalesce(processed_timestamp, discovered_timestamp) as modification_time
+from v_queue"""),
     "v_event": ((), """
 select concat('EVT-', e.event_id) as event_id, concat('JRN-', e.user_id, '-', e.event_type) as journey_id, e.user_id as member_id, e.event_type,
  cast(e.ts as date) as event_date, cast(e.value as decimal(18,2)) as cost, cast(regexp_replace(e.props,'[^0-9]','','g') as int) as provider_id,
