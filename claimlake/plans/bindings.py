@@ -196,3 +196,41 @@ def listing(spark: SparkSession, d: str) -> DataFrame:
         F.when(st == "SUCCESS", "COMPLETED").when(st == "FAILED", "ERROR").otherwise("SRC").alias("stage"),
         "file_name", F.col("file_size_bytes").alias("size"),
         F.coalesce("processed_timestamp", "discovered_timestamp").alias("modification_time"))
+
+
+def errors(spark: SparkSession, d: str) -> DataFrame:
+    """Error log: the 'error' events, resolved when their value exceeds 10."""
+    return (logs(spark, d).filter(F.col("log_level") == "ERROR")
+            .select(F.col("log_id").alias("error_id"), F.col("log_timestamp").alias("error_timestamp"),
+                    F.col("log_source").alias("error_source"), F.col("message").alias("error_message"),
+                    (F.col("value") > 10).alias("resolved")))
+
+
+def api_requests(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    return e.select(F.col("event_id").alias("request_id"), F.col("ts").alias("log_timestamp"),
+                    F.concat(F.lit("/api/"), F.col("event_type")).alias("path"),
+                    F.floor(F.col("value") * 100).cast("bigint").alias("latency_ms"))
+
+
+def task_runs(spark: SparkSession, d: str) -> DataFrame:
+    """Task runs: one per queued file, from discovery to processing."""
+    q = queue(spark, d)
+    return q.select(F.col("queue_id").alias("run_id"), F.concat(F.lit("process_"), F.col("tpa")).alias("task_name"),
+                    F.col("discovered_timestamp").alias("start_time"), F.col("processed_timestamp").alias("end_time"),
+                    "status")
+
+
+def file_log(spark: SparkSession, d: str) -> DataFrame:
+    """File-processing log: a DISCOVER and a PROCESS row per file."""
+    q = queue(spark, d)
+    disc = q.select("file_name", "tpa", F.lit("DISCOVER").alias("stage"), F.lit("SUCCESS").alias("status"),
+                    F.col("discovered_timestamp").alias("log_timestamp"),
+                    F.lit(0).cast("bigint").alias("rows_processed"), F.lit(0).cast("bigint").alias("rows_failed"))
+    proc = (q.filter(F.col("status").isin("SUCCESS", "FAILED"))
+             .select("file_name", "tpa", F.lit("PROCESS").alias("stage"), "status",
+                     F.col("processed_timestamp").alias("log_timestamp"),
+                     (F.col("file_size_bytes") % 1000).cast("bigint").alias("rows_processed"),
+                     F.when(F.col("status") == "FAILED", F.col("retry_count")).otherwise(0).cast("bigint")
+                      .alias("rows_failed")))
+    return disc.unionByName(proc)

@@ -72,6 +72,21 @@ from v_claim_id"""),
 select case status when 'SUCCESS' then 'COMPLETED' when 'FAILED' then 'ERROR' else 'SRC' end as stage,
  file_name, file_size_bytes as size, coalesce(processed_timestamp, discovered_timestamp) as modification_time
 from v_queue"""),
+    "v_error": (("v_log",), """
+select log_id as error_id, log_timestamp as error_timestamp, log_source as error_source, message as error_message,
+ value > 10 as resolved from v_log where log_level = 'ERROR'"""),
+    "v_api": ((), """
+select event_id as request_id, ts as log_timestamp, concat('/api/', event_type) as path,
+ cast(floor(value * 100) as bigint) as latency_ms from events"""),
+    "v_task": (("v_queue",), """
+select queue_id as run_id, concat('process_', tpa) as task_name, discovered_timestamp as start_time,
+ processed_timestamp as end_time, status from v_queue"""),
+    "v_file_log": (("v_queue",), """
+select file_name, tpa, 'DISCOVER' as stage, 'SUCCESS' as status, discovered_timestamp as log_timestamp,
+ cast(0 as bigint) as rows_processed, cast(0 as bigint) as rows_failed from v_queue
+union all
+select file_name, tpa, 'PROCESS', status, processed_timestamp, cast(file_size_bytes % 1000 as bigint),
+ cast(case when status = 'FAILED' then retry_count else 0 end as bigint) from v_queue where status in ('SUCCESS','FAILED')"""),
     "v_event": ((), """
 select concat('EVT-', e.event_id) as event_id, concat('JRN-', e.user_id, '-', e.event_type) as journey_id, e.user_id as member_id, e.event_type,
  cast(e.ts as date) as event_date, cast(e.value as decimal(18,2)) as cost, cast(regexp_replace(e.props,'[^0-9]','','g') as int) as provider_id,
