@@ -123,9 +123,13 @@ def queue(spark: SparkSession, d: str) -> DataFrame:
              .withColumn("file_type", file_type("file_name")))
 
 
-def raw_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Bronze raw rows: each claim line as a JSON object of strings in its order's file."""
-    c = claims(spark, d, with_record_id=True)
+def raw_rows(spark: SparkSession, d: str, with_ids: bool = True) -> DataFrame:
+    """Bronze raw rows: each claim line as a JSON object of strings in its order's file.
+
+    ``with_ids=False`` skips the record id / row number (not needed for key
+    discovery), which saves the sort that numbering requires.
+    """
+    c = claims(spark, d, with_record_id=with_ids)
     k = F.col("order_key")
     suffix = (F.when(k % 4 == 0, ".csv").when(k % 4 == 1, ".CSV.gz").when(k % 4 == 2, ".xlsx").otherwise(".txt"))
     from pyspark.sql import Window as W
@@ -133,6 +137,11 @@ def raw_rows(spark: SparkSession, d: str) -> DataFrame:
     fields = ["claim_id", "member_id", "provider_id", "claim_type", "service_date", "diagnosis_code",
               "claim_status", "billed_amount", "allowed_amount", "paid_amount"]
     obj = F.to_json(F.struct(*[F.col(f).cast("string").alias(f.upper()) for f in fields]))
+    if not with_ids:
+        return c.select(F.concat(F.col("tpa"), F.lit("/order-"), k.cast("string"), suffix).alias("file_name"),
+                        "tpa", obj.alias("raw_data"), file_type(F.concat(F.lit("x"), suffix)).alias("file_type"),
+                        F.timestamp_add("SECOND", (k % 3600).cast("int"),
+                                        F.col("received_date").cast("timestamp_ntz")).alias("load_timestamp"))
     return c.select(
         "record_id",
         F.concat(F.col("tpa"), F.lit("/order-"), k.cast("string"), suffix).alias("file_name"),
@@ -234,3 +243,84 @@ def file_log(spark: SparkSession, d: str) -> DataFrame:
                      F.when(F.col("status") == "FAILED", F.col("retry_count")).otherwise(0).cast("bigint")
                       .alias("rows_failed")))
     return disc.unionByName(proc)
+
+
+# -- silver metadata derived from the data ------------------------------------
+
+CLAIM_FIELDS = ["CLAIM_ID", "MEMBER_ID", "PROVIDER_ID", "SERVICE_DATE", "RECEIVED_DATE", "DIAGNOSIS_CODE",
+                "CLAIM_STATUS", "BILLED_AMOUNT", "ALLOWED_AMOUNT", "PAID_AMOUNT"]
+# Definitions every claims table also declares (column, type, nullable, default);
+# the last three carry defaults that do not fit their type.
+EXTRA_DEFS = [("CREATED_AT", "TIMESTAMP_NTZ", "N", "CURRENT_TIMESTAMP()"),
+              ("PROCESSED_DATE", "TIMESTAMP_NTZ", "Y", None),
+              ("SERVICE_YEAR", "NUMBER(4,0)", "Y", "TBD"),
+              ("IS_ADJUSTED", "BOOLEAN", "N", "maybe"),
+              ("ADJUSTED_DATE", "DATE", "Y", "CURRENT_TIMESTAMP()")]
+
+
+def claim_strings(spark: SparkSession, d: str) -> DataFrame:
+    """Claims as the string fields a landed file carries, plus the silver table name."""
+    c = claims(spark, d)
+    return c.select(F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("table_name"), "tpa",
+                    *[F.col(f.lower()).cast("string").alias(f) for f in CLAIM_FIELDS])
+
+
+def target_schemas(spark: SparkSession, d: str) -> DataFrame:
+    """Target-schema definitions observed from the landed values of each table.
+
+    Type: NUMBER(18,2) when every value parses as a number, DATE when every
+    value parses as a date, else VARCHAR sized to the longest value.
+    """
+    s = claim_strings(spark, d)
+    aggs = []
+    for f in CLAIM_FIELDS:
+        v = F.col(f)
+        aggs += [F.bool_and(v.isNull() | v.try_cast("decimal(18,2)").isNotNull()).alias(f"{f}__num"),
+                 F.bool_and(v.isNull() | v.try_cast("date").isNotNull()).alias(f"{f}__date"),
+                 F.max(F.length(v)).alias(f"{f}__len"),
+                 F.count_if(v.isNull()).alias(f"{f}__nulls")]
+    g = s.groupBy("table_name").agg(*aggs)
+    items = []
+    for f in CLAIM_FIELDS:
+        num, dt, ln, nl = (F.col(f"{f}__{k}") for k in ("num", "date", "len", "nulls"))
+        size = F.when(ln <= 50, "50").when(ln <= 100, "100").otherwise("500")
+        dtype = (F.when(num, "NUMBER(18,2)").when(dt, "DATE")
+                  .otherwise(F.concat(F.lit("VARCHAR("), size, F.lit(")"))))
+        dflt = (F.when(num, "0.00").when(dt, "CURRENT_DATE()").when(nl == 0, "N/A")
+                 .otherwise(F.lit(None).cast("string")))
+        items.append(F.struct(F.lit(f).alias("column_name"), dtype.alias("data_type"),
+                              F.when(nl > 0, "Y").otherwise("N").alias("nullable"), dflt.alias("default_value"),
+                              F.lit("Observed " + f.lower()).alias("description")))
+    for col, t, n, dv in EXTRA_DEFS:
+        items.append(F.struct(F.lit(col).alias("column_name"), F.lit(t).alias("data_type"), F.lit(n).alias("nullable"),
+                              F.lit(dv).cast("string").alias("default_value"),
+                              F.lit("Declared " + col.lower()).alias("description")))
+    return g.select("table_name", F.inline(F.array(*items)))
+
+
+def field_mappings(spark: SparkSession, d: str) -> DataFrame:
+    """Field mappings per tenant and table present in the data."""
+    from pyspark.sql import Window as W
+    c = claims(spark, d).select("tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table")).distinct()
+    m = c.select("tpa", "target_table", F.explode(F.array(*[F.lit(f) for f in CLAIM_FIELDS])).alias("source_field"))
+    tpa, sf = F.col("tpa"), F.col("source_field")
+    manual = tpa.isin("asia", "europe")
+    conf = F.when(manual, F.lit(1.0)).otherwise((F.lit(5) + F.length(sf) % 5).cast("double") / 10)
+    w = W.orderBy("tpa", "target_table", "source_field")
+    return m.select(
+        F.row_number().over(w).cast("bigint").alias("mapping_id"), "source_field",
+        F.lit("RAW_DATA_TABLE").alias("source_table"), "target_table",
+        F.when((tpa == "asia") & (sf == "ALLOWED_AMOUNT"), "PAID_AMOUNT").when(sf == "CLAIM_STATUS", "STATUS")
+         .otherwise(sf).alias("target_column"),
+        "tpa",
+        F.when(manual, "MANUAL").when(tpa == "america", "ML_AUTO").when(tpa == "africa", "LLM_CORTEX")
+         .otherwise("FUZZY").alias("mapping_method"),
+        conf.alias("confidence_score"), (manual | (conf >= 0.8)).alias("approved"), F.lit(True).alias("active"),
+        F.when(sf.like("%AMOUNT"), F.concat(F.lit("TO_NUMBER("), sf, F.lit(")")))
+         .when(sf.like("%DATE"), F.concat(F.lit("TO_DATE("), sf, F.lit(")"))).alias("transformation_logic"))
+
+
+def raw_source_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct object keys of the raw rows per tenant (one distributed explode + distinct)."""
+    r = raw_rows(spark, d, with_ids=False).select("tpa", "raw_data")
+    return r.select("tpa", F.explode(F.json_object_keys("raw_data")).alias("source_field")).distinct()

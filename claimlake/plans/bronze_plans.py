@@ -63,7 +63,7 @@ from v_queue q left join (select tpa, file_name, count(*) as n from v_raw group
 where q.status in ('PENDING', 'PROCESSING')""")
 def already_loaded(spark, d):
     batch = b.queue(spark, d).filter(F.col("status").isin("PENDING", "PROCESSING"))
-    raw = b.raw_rows(spark, d).select("tpa", "file_name")
+    raw = b.raw_rows(spark, d, with_ids=False).select("tpa", "file_name")
     return br.skip_loaded(batch, raw).select("queue_id", "file_name", "tpa", "loaded_rows", "already_loaded")
 
 
@@ -132,7 +132,7 @@ left join c on q.tpa = c.tpa and q.file_name = c.file_name""")
 def delete_file(spark, d):
     q = b.queue(spark, d)
     files = q.filter(F.col("status") == "FAILED").select("tpa", "file_name")
-    _, q2 = br.delete_files(b.raw_rows(spark, d).select("tpa", "file_name"), q, files)
+    _, q2 = br.delete_files(b.raw_rows(spark, d, with_ids=False).select("tpa", "file_name"), q, files)
     return q2
 
 
@@ -193,14 +193,14 @@ select tpa, file_type, count(*) as row_count, count(distinct file_name) as file_
  min(load_timestamp) as first_load, max(load_timestamp) as last_load
 from v_raw group by tpa, file_type""")
 def raw_data_statistics(spark, d):
-    return br.raw_statistics(b.raw_rows(spark, d))
+    return br.raw_statistics(b.raw_rows(spark, d, with_ids=False))
 
 
 @register("bronze_stats", views=("v_raw",), oracle="""
 select count(*) as total_rows, count(distinct file_name) as total_files, count(distinct tpa) as total_tpas,
  min(load_timestamp) as earliest_load, max(load_timestamp) as latest_load from v_raw""")
 def bronze_stats(spark, d):
-    return br.bronze_stats(b.raw_rows(spark, d))
+    return br.bronze_stats(b.raw_rows(spark, d, with_ids=False))
 
 
 @register("raw_browse", views=("v_raw",), oracle="""
@@ -220,14 +220,14 @@ def queue_list(spark, d):
 @register("source_fields", views=("v_raw",), oracle="""
 select distinct tpa, unnest(json_keys(raw_data)) as field_name from v_raw""")
 def source_fields(spark, d):
-    return br.source_fields(b.raw_rows(spark, d).select("tpa", "raw_data"), None, 1000)
+    return br.source_fields(b.raw_rows(spark, d, with_ids=False).select("tpa", "raw_data"), None, 1000)
 
 
 @register("source_profile", views=("v_raw",), oracle="""
 select tpa, count(*) as flattened_records, count(distinct field_name) as distinct_fields
 from (select tpa, unnest(json_keys(raw_data)) as field_name from v_raw) group by tpa""")
 def source_profile(spark, d):
-    return br.source_profile(b.raw_rows(spark, d).select("tpa", "raw_data"))
+    return br.source_profile(b.raw_rows(spark, d, with_ids=False).select("tpa", "raw_data"))
 
 
 @register("tpa_statistics", views=("v_tpa", "v_raw", "v_queue"), oracle="""
@@ -242,7 +242,7 @@ select t.tpa_code as tpa, t.tpa_name, t.active, coalesce(total_records, 0) as to
  coalesce(files_pending, 0) as files_pending
 from v_tpa t left join r on t.tpa_code = r.tpa left join q on t.tpa_code = q.tpa""")
 def tpa_statistics(spark, d):
-    return br.tpa_statistics(b.tpa_master(spark, d), b.raw_rows(spark, d).select("tpa", "file_name", "load_timestamp"),
+    return br.tpa_statistics(b.tpa_master(spark, d), b.raw_rows(spark, d, with_ids=False).select("tpa", "file_name", "load_timestamp"),
                              b.queue(spark, d))
 
 
@@ -299,7 +299,7 @@ select 'raw' as table_name, count(*) filter (where tpa = 'europe') as deleted_ro
 union all select 'queue', count(*) filter (where tpa = 'europe'), count(*) filter (where tpa <> 'europe') from v_queue
 union all select 'members', count(*) filter (where tpa = 'europe'), count(*) filter (where tpa <> 'europe') from v_member""")
 def tpa_delete_counts(spark, d):
-    return br.cascade_delete_counts({"raw": b.raw_rows(spark, d).select("tpa"), "queue": b.queue(spark, d),
+    return br.cascade_delete_counts({"raw": b.raw_rows(spark, d, with_ids=False).select("tpa"), "queue": b.queue(spark, d),
                                      "members": b.members(spark, d)}, "europe")
 
 
@@ -320,7 +320,7 @@ select sum(n) :: bigint as total_rows, sum(f) :: bigint as unique_files,
 from (select file_type, count(*) as n, count(distinct file_name) as f, min(load_timestamp) as lo, max(load_timestamp) as hi
       from v_raw group by file_type)""")
 def raw_kpis(spark, d):
-    return br.raw_kpis(b.raw_rows(spark, d).select("tpa", "file_type", "file_name", "load_timestamp"))
+    return br.raw_kpis(b.raw_rows(spark, d, with_ids=False).select("tpa", "file_type", "file_name", "load_timestamp"))
 
 
 @register("landing_kpis", views=("v_listing",), oracle="""

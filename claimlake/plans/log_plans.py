@@ -95,5 +95,5 @@ union all select 'files', count(distinct file_name) from v_raw""")
 def silver_summary(spark, d):
     return lg.counts_summary({"claims": b.claims(spark, d), "members": b.members(spark, d),
                               "providers": b.providers(spark, d), "tenants": b.tpa_master(spark, d),
-                              "files": b.raw_rows(spark, d).select("file_name")},
+                              "files": b.raw_rows(spark, d, with_ids=False).select("file_name")},
                              {"tenants": "tpa_code", "files": "file_name"})

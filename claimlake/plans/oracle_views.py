@@ -87,6 +87,49 @@ select file_name, tpa, 'DISCOVER' as stage, 'SUCCESS' as status, discovered_time
 union all
 select file_name, tpa, 'PROCESS', status, processed_timestamp, cast(file_size_bytes % 1000 as bigint),
  cast(case when status = 'FAILED' then retry_count else 0 end as bigint) from v_queue where status in ('SUCCESS','FAILED')"""),
+    "v_defs": (("v_claim",), """
+with s as (select concat(claim_type, '_CLAIMS') as table_name, tpa, cast(claim_id as varchar) as CLAIM_ID, cast(member_id as varchar) as MEMBER_ID, cast(provider_id as varchar) as PROVIDER_ID, cast(service_date as varchar) as SERVICE_DATE, cast(received_date as varchar) as RECEIVED_DATE, cast(diagnosis_code as varchar) as DIAGNOSIS_CODE, cast(claim_status as varchar) as CLAIM_STATUS, cast(billed_amount as varchar) as BILLED_AMOUNT, cast(allowed_amount as varchar) as ALLOWED_AMOUNT, cast(paid_amount as varchar) as PAID_AMOUNT from v_claim),
+g as (select table_name, bool_and(CLAIM_ID is null or try_cast(CLAIM_ID as decimal(18,2)) is not null) as CLAIM_ID__num, bool_and(CLAIM_ID is null or try_cast(CLAIM_ID as date) is not null) as CLAIM_ID__date, max(length(CLAIM_ID)) as CLAIM_ID__len, count(*) filter (where CLAIM_ID is null) as CLAIM_ID__nulls,
+ bool_and(MEMBER_ID is null or try_cast(MEMBER_ID as decimal(18,2)) is not null) as MEMBER_ID__num, bool_and(MEMBER_ID is null or try_cast(MEMBER_ID as date) is not null) as MEMBER_ID__date, max(length(MEMBER_ID)) as MEMBER_ID__len, count(*) filter (where MEMBER_ID is null) as MEMBER_ID__nulls,
+ bool_and(PROVIDER_ID is null or try_cast(PROVIDER_ID as decimal(18,2)) is not null) as PROVIDER_ID__num, bool_and(PROVIDER_ID is null or try_cast(PROVIDER_ID as date) is not null) as PROVIDER_ID__date, max(length(PROVIDER_ID)) as PROVIDER_ID__len, count(*) filter (where PROVIDER_ID is null) as PROVIDER_ID__nulls,
+ bool_and(SERVICE_DATE is null or try_cast(SERVICE_DATE as decimal(18,2)) is not null) as SERVICE_DATE__num, bool_and(SERVICE_DATE is null or try_cast(SERVICE_DATE as date) is not null) as SERVICE_DATE__date, max(length(SERVICE_DATE)) as SERVICE_DATE__len, count(*) filter (where SERVICE_DATE is null) as SERVICE_DATE__nulls,
+ bool_and(RECEIVED_DATE is null or try_cast(RECEIVED_DATE as decimal(18,2)) is not null) as RECEIVED_DATE__num, bool_and(RECEIVED_DATE is null or try_cast(RECEIVED_DATE as date) is not null) as RECEIVED_DATE__date, max(length(RECEIVED_DATE)) as RECEIVED_DATE__len, count(*) filter (where RECEIVED_DATE is null) as RECEIVED_DATE__nulls,
+ bool_and(DIAGNOSIS_CODE is null or try_cast(DIAGNOSIS_CODE as decimal(18,2)) is not null) as DIAGNOSIS_CODE__num, bool_and(DIAGNOSIS_CODE is null or try_cast(DIAGNOSIS_CODE as date) is not null) as DIAGNOSIS_CODE__date, max(length(DIAGNOSIS_CODE)) as DIAGNOSIS_CODE__len, count(*) filter (where DIAGNOSIS_CODE is null) as DIAGNOSIS_CODE__nulls,
+ bool_and(CLAIM_STATUS is null or try_cast(CLAIM_STATUS as decimal(18,2)) is not null) as CLAIM_STATUS__num, bool_and(CLAIM_STATUS is null or try_cast(CLAIM_STATUS as date) is not null) as CLAIM_STATUS__date, max(length(CLAIM_STATUS)) as CLAIM_STATUS__len, count(*) filter (where CLAIM_STATUS is null) as CLAIM_STATUS__nulls,
+ bool_and(BILLED_AMOUNT is null or try_cast(BILLED_AMOUNT as decimal(18,2)) is not null) as BILLED_AMOUNT__num, bool_and(BILLED_AMOUNT is null or try_cast(BILLED_AMOUNT as date) is not null) as BILLED_AMOUNT__date, max(length(BILLED_AMOUNT)) as BILLED_AMOUNT__len, count(*) filter (where BILLED_AMOUNT is null) as BILLED_AMOUNT__nulls,
+ bool_and(ALLOWED_AMOUNT is null or try_cast(ALLOWED_AMOUNT as decimal(18,2)) is not null) as ALLOWED_AMOUNT__num, bool_and(ALLOWED_AMOUNT is null or try_cast(ALLOWED_AMOUNT as date) is not null) as ALLOWED_AMOUNT__date, max(length(ALLOWED_AMOUNT)) as ALLOWED_AMOUNT__len, count(*) filter (where ALLOWED_AMOUNT is null) as ALLOWED_AMOUNT__nulls,
+ bool_and(PAID_AMOUNT is null or try_cast(PAID_AMOUNT as decimal(18,2)) is not null) as PAID_AMOUNT__num, bool_and(PAID_AMOUNT is null or try_cast(PAID_AMOUNT as date) is not null) as PAID_AMOUNT__date, max(length(PAID_AMOUNT)) as PAID_AMOUNT__len, count(*) filter (where PAID_AMOUNT is null) as PAID_AMOUNT__nulls from s group by table_name)
+select table_name, 'CLAIM_ID' as column_name, case when CLAIM_ID__num then 'NUMBER(18,2)' when CLAIM_ID__date then 'DATE' else concat('VARCHAR(', case when CLAIM_ID__len <= 50 then '50' when CLAIM_ID__len <= 100 then '100' else '500' end, ')') end as data_type, case when CLAIM_ID__nulls > 0 then 'Y' else 'N' end as nullable, case when CLAIM_ID__num then '0.00' when CLAIM_ID__date then 'CURRENT_DATE()' when CLAIM_ID__nulls = 0 then 'N/A' end as default_value, 'Observed claim_id' as description from g
+union all select table_name, 'MEMBER_ID' as column_name, case when MEMBER_ID__num then 'NUMBER(18,2)' when MEMBER_ID__date then 'DATE' else concat('VARCHAR(', case when MEMBER_ID__len <= 50 then '50' when MEMBER_ID__len <= 100 then '100' else '500' end, ')') end as data_type, case when MEMBER_ID__nulls > 0 then 'Y' else 'N' end as nullable, case when MEMBER_ID__num then '0.00' when MEMBER_ID__date then 'CURRENT_DATE()' when MEMBER_ID__nulls = 0 then 'N/A' end as default_value, 'Observed member_id' as description from g
+union all select table_name, 'PROVIDER_ID' as column_name, case when PROVIDER_ID__num then 'NUMBER(18,2)' when PROVIDER_ID__date then 'DATE' else concat('VARCHAR(', case when PROVIDER_ID__len <= 50 then '50' when PROVIDER_ID__len <= 100 then '100' else '500' end, ')') end as data_type, case when PROVIDER_ID__nulls > 0 then 'Y' else 'N' end as nullable, case when PROVIDER_ID__num then '0.00' when PROVIDER_ID__date then 'CURRENT_DATE()' when PROVIDER_ID__nulls = 0 then 'N/A' end as default_value, 'Observed provider_id' as description from g
+union all select table_name, 'SERVICE_DATE' as column_name, case when SERVICE_DATE__num then 'NUMBER(18,2)' when SERVICE_DATE__date then 'DATE' else concat('VARCHAR(', case when SERVICE_DATE__len <= 50 then '50' when SERVICE_DATE__len <= 100 then '100' else '500' end, ')') end as data_type, case when SERVICE_DATE__nulls > 0 then 'Y' else 'N' end as nullable, case when SERVICE_DATE__num then '0.00' when SERVICE_DATE__date then 'CURRENT_DATE()' when SERVICE_DATE__nulls = 0 then 'N/A' end as default_value, 'Observed service_date' as description from g
+union all select table_name, 'RECEIVED_DATE' as column_name, case when RECEIVED_DATE__num then 'NUMBER(18,2)' when RECEIVED_DATE__date then 'DATE' else concat('VARCHAR(', case when RECEIVED_DATE__len <= 50 then '50' when RECEIVED_DATE__len <= 100 then '100' else '500' end, ')') end as data_type, case when RECEIVED_DATE__nulls > 0 then 'Y' else 'N' end as nullable, case when RECEIVED_DATE__num then '0.00' when RECEIVED_DATE__date then 'CURRENT_DATE()' when RECEIVED_DATE__nulls = 0 then 'N/A' end as default_value, 'Observed received_date' as description from g
+union all select table_name, 'DIAGNOSIS_CODE' as column_name, case when DIAGNOSIS_CODE__num then 'NUMBER(18,2)' when DIAGNOSIS_CODE__date then 'DATE' else concat('VARCHAR(', case when DIAGNOSIS_CODE__len <= 50 then '50' when DIAGNOSIS_CODE__len <= 100 then '100' else '500' end, ')') end as data_type, case when DIAGNOSIS_CODE__nulls > 0 then 'Y' else 'N' end as nullable, case when DIAGNOSIS_CODE__num then '0.00' when DIAGNOSIS_CODE__date then 'CURRENT_DATE()' when DIAGNOSIS_CODE__nulls = 0 then 'N/A' end as default_value, 'Observed diagnosis_code' as description from g
+union all select table_name, 'CLAIM_STATUS' as column_name, case when CLAIM_STATUS__num then 'NUMBER(18,2)' when CLAIM_STATUS__date then 'DATE' else concat('VARCHAR(', case when CLAIM_STATUS__len <= 50 then '50' when CLAIM_STATUS__len <= 100 then '100' else '500' end, ')') end as data_type, case when CLAIM_STATUS__nulls > 0 then 'Y' else 'N' end as nullable, case when CLAIM_STATUS__num then '0.00' when CLAIM_STATUS__date then 'CURRENT_DATE()' when CLAIM_STATUS__nulls = 0 then 'N/A' end as default_value, 'Observed claim_status' as description from g
+union all select table_name, 'BILLED_AMOUNT' as column_name, case when BILLED_AMOUNT__num then 'NUMBER(18,2)' when BILLED_AMOUNT__date then 'DATE' else concat('VARCHAR(', case when BILLED_AMOUNT__len <= 50 then '50' when BILLED_AMOUNT__len <= 100 then '100' else '500' end, ')') end as data_type, case when BILLED_AMOUNT__nulls > 0 then 'Y' else 'N' end as nullable, case when BILLED_AMOUNT__num then '0.00' when BILLED_AMOUNT__date then 'CURRENT_DATE()' when BILLED_AMOUNT__nulls = 0 then 'N/A' end as default_value, 'Observed billed_amount' as description from g
+union all select table_name, 'ALLOWED_AMOUNT' as column_name, case when ALLOWED_AMOUNT__num then 'NUMBER(18,2)' when ALLOWED_AMOUNT__date then 'DATE' else concat('VARCHAR(', case when ALLOWED_AMOUNT__len <= 50 then '50' when ALLOWED_AMOUNT__len <= 100 then '100' else '500' end, ')') end as data_type, case when ALLOWED_AMOUNT__nulls > 0 then 'Y' else 'N' end as nullable, case when ALLOWED_AMOUNT__num then '0.00' when ALLOWED_AMOUNT__date then 'CURRENT_DATE()' when ALLOWED_AMOUNT__nulls = 0 then 'N/A' end as default_value, 'Observed allowed_amount' as description from g
+union all select table_name, 'PAID_AMOUNT' as column_name, case when PAID_AMOUNT__num then 'NUMBER(18,2)' when PAID_AMOUNT__date then 'DATE' else concat('VARCHAR(', case when PAID_AMOUNT__len <= 50 then '50' when PAID_AMOUNT__len <= 100 then '100' else '500' end, ')') end as data_type, case when PAID_AMOUNT__nulls > 0 then 'Y' else 'N' end as nullable, case when PAID_AMOUNT__num then '0.00' when PAID_AMOUNT__date then 'CURRENT_DATE()' when PAID_AMOUNT__nulls = 0 then 'N/A' end as default_value, 'Observed paid_amount' as description from g
+union all select table_name, 'CREATED_AT', 'TIMESTAMP_NTZ', 'N', cast('CURRENT_TIMESTAMP()' as varchar), 'Declared created_at' from g
+union all select table_name, 'PROCESSED_DATE', 'TIMESTAMP_NTZ', 'Y', cast(null as varchar), 'Declared processed_date' from g
+union all select table_name, 'SERVICE_YEAR', 'NUMBER(4,0)', 'Y', cast('TBD' as varchar), 'Declared service_year' from g
+union all select table_name, 'IS_ADJUSTED', 'BOOLEAN', 'N', cast('maybe' as varchar), 'Declared is_adjusted' from g
+union all select table_name, 'ADJUSTED_DATE', 'DATE', 'Y', cast('CURRENT_TIMESTAMP()' as varchar), 'Declared adjusted_date' from g"""),
+    "v_mappings": (("v_claim",), """
+select row_number() over (order by tpa, target_table, source_field) as mapping_id, source_field,
+ 'RAW_DATA_TABLE' as source_table, target_table,
+ case when tpa = 'asia' and source_field = 'ALLOWED_AMOUNT' then 'PAID_AMOUNT' when source_field = 'CLAIM_STATUS' then 'STATUS'
+      else source_field end as target_column, tpa,
+ case when tpa in ('asia','europe') then 'MANUAL' when tpa = 'america' then 'ML_AUTO' when tpa = 'africa' then 'LLM_CORTEX'
+      else 'FUZZY' end as mapping_method,
+ case when tpa in ('asia','europe') then 1.0 else cast(5 + length(source_field) % 5 as double) / 10 end as confidence_score,
+ (tpa in ('asia','europe') or cast(5 + length(source_field) % 5 as double) / 10 >= 0.8) as approved,
+ true as active,
+ case when source_field like '%AMOUNT' then concat('TO_NUMBER(', source_field, ')')
+      when source_field like '%DATE' then concat('TO_DATE(', source_field, ')') end as transformation_logic
+from (select tpa, target_table, unnest(['CLAIM_ID', 'MEMBER_ID', 'PROVIDER_ID', 'SERVICE_DATE', 'RECEIVED_DATE', 'DIAGNOSIS_CODE', 'CLAIM_STATUS', 'BILLED_AMOUNT', 'ALLOWED_AMOUNT', 'PAID_AMOUNT']) as source_field
+      from (select distinct tpa, concat(claim_type, '_CLAIMS') as target_table from v_claim))"""),
+    "v_src_fields": (("v_raw",), """
+select distinct tpa, unnest(json_keys(raw_data)) as source_field from v_raw"""),
     "v_event": ((), """
 select concat('EVT-', e.event_id) as event_id, concat('JRN-', e.user_id, '-', e.event_type) as journey_id, e.user_id as member_id, e.event_type,
  cast(e.ts as date) as event_date, cast(e.value as decimal(18,2)) as cost, cast(regexp_replace(e.props,'[^0-9]','','g') as int) as provider_id,
