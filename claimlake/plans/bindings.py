@@ -324,3 +324,29 @@ def raw_source_fields(spark: SparkSession, d: str) -> DataFrame:
     """Distinct object keys of the raw rows per tenant (one distributed explode + distinct)."""
     r = raw_rows(spark, d, with_ids=False).select("tpa", "raw_data")
     return r.select("tpa", F.explode(F.json_object_keys("raw_data")).alias("source_field")).distinct()
+
+
+# Silver rule catalogue: one copy per tenant and claims table found in the
+# data.  Fixed values: (rule_id, name, type, target column, logic, action,
+# priority, active).  DQ005 is inactive, DQ006 holds an aggregate, DQ007 names
+# a column the tables do not have.
+RULES = [
+    ("DQ001", "Claim ID Not Null", "DATA_QUALITY", "CLAIM_ID", "CLAIM_ID IS NOT NULL", "REJECT", 100, True),
+    ("DQ002", "Valid Service Date", "DATA_QUALITY", "SERVICE_DATE", "SERVICE_DATE <= CURRENT_DATE()", "QUARANTINE", 100, True),
+    ("DQ003", "Positive Amounts", "DATA_QUALITY", "BILLED_AMOUNT", "BILLED_AMOUNT >= 0", "QUARANTINE", 100, True),
+    ("DQ004", "Paid Within Limit", "DATA_QUALITY", "PAID_AMOUNT", "PAID_AMOUNT <= 80000", "FLAG", 110, True),
+    ("DQ005", "Huge Bill", "DATA_QUALITY", "BILLED_AMOUNT", "BILLED_AMOUNT > 1000000", "REJECT", 120, False),
+    ("DQ006", "Average Bill", "DATA_QUALITY", "BILLED_AMOUNT", "AVG(BILLED_AMOUNT) < 38000", "FLAG", 130, True),
+    ("DQ007", "Patient Age", "DATA_QUALITY", "PATIENT_AGE", "PATIENT_AGE >= 0", "REJECT", 140, True),
+    ("BL001", "Calculate Discount", "BUSINESS_LOGIC", None, "PAID_AMOUNT / BILLED_AMOUNT AS DISCOUNT_RATE", "FLAG", 200, True),
+    ("ST001", "Diagnosis Upper", "STANDARDIZATION", "DIAGNOSIS_CODE", "UPPER(TRIM(DIAGNOSIS_CODE))", "CORRECT", 300, True),
+]
+
+
+def silver_rules(spark: SparkSession, d: str) -> DataFrame:
+    c = claims(spark, d).select("tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table")).distinct()
+    items = [F.struct(F.lit(a).alias("rule_id"), F.lit(b).alias("rule_name"), F.lit(t).alias("rule_type"),
+                      F.lit(tc).cast("string").alias("target_column"), F.lit(lg).alias("rule_logic"),
+                      F.lit(ac).alias("error_action"), F.lit(p).alias("priority"), F.lit(act).alias("active"))
+             for a, b, t, tc, lg, ac, p, act in RULES]
+    return c.select("tpa", "target_table", F.inline(F.array(*items)))
