@@ -153,7 +153,11 @@ def raw_rows(spark: SparkSession, d: str, with_ids: bool = True) -> DataFrame:
 
 
 def events(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events")
+    return event_rows(table(spark, d, "events"))
+
+
+def event_rows(e: DataFrame) -> DataFrame:
+    """Journey events from raw event rows (batch or streaming frame)."""
     return e.select(
         F.concat(F.lit("EVT-"), F.col("event_id").cast("string")).alias("event_id"),
         F.concat(F.lit("JRN-"), F.col("user_id").cast("string"), F.lit("-"), F.col("event_type")).alias("journey_id"),

@@ -84,14 +84,15 @@ def _header_udf(content: pd.Series, is_gz: pd.Series, utf8: pd.Series) -> pd.Dat
     return pd.DataFrame({"header": heads, "encoding": encs})
 
 
-def file_headers(spark: SparkSession, root: str, pattern: str = "(?i).*\\.csv(\\.gz)?$") -> DataFrame:
+def file_headers(spark: SparkSession, root: str, pattern: str = "(?i).*\\.csv(\\.gz)?$",
+                 paths: list[str] | None = None) -> DataFrame:
     """One row per CSV file: path, header line, encoding.
 
     Plain files send only their first 64 KiB to Python (the UTF-8 check of the
     whole file runs in the JVM); gzip files are checked while decompressing.
     """
-    b = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root.rstrip("/"))
-              .filter(F.col("path").rlike(pattern)))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    b = (reader.load(paths) if paths else reader.load(root.rstrip("/"))).filter(F.col("path").rlike(pattern))
     gz = F.lower(F.col("path")).endswith(".gz")
     sent = F.when(gz, F.col("content")).otherwise(F.substring("content", 1, HEADER_PREFIX_BYTES))
     return (b.select("path", sent.alias("c"), gz.alias("gz"),
@@ -116,17 +117,19 @@ def _split_header(header: str) -> list[str]:
 
 
 def read_landing_csv(spark: SparkSession, root: str, multi_line: bool = True, mode: str = "PERMISSIVE",
-                     keep_columns: bool = False) -> DataFrame:
+                     paths: list[str] | None = None, partition_dirs: bool = False) -> DataFrame:
     """SRC-1/2/3 + BRZ-5: rows of every landing CSV as JSON objects of strings.
 
     Output: tpa (first folder under ``root``; files directly under ``root``
     have none), file_name (relative), file_row_number (1-based, data rows),
     file_type, raw_data.  Empty cells stay as empty strings; key names keep
     their spelling.  The header collect is one row per distinct
-    (header, encoding) -- bounded by the number of file layouts.
+    (header, encoding) -- bounded by the number of file layouts.  ``paths``
+    limits the scan to given files (streaming micro-batches);
+    ``partition_dirs`` reads ``tpa=x`` folder names as tenant ``x``.
     """
     root = root.rstrip("/")
-    heads = file_headers(spark, root)
+    heads = file_headers(spark, root, paths=paths)
     groups = (heads.groupBy("header", "encoding").agg(F.sort_array(F.collect_list("path")).alias("paths"))
                    .collect())
     parts = []
@@ -153,6 +156,8 @@ def read_landing_csv(spark: SparkSession, root: str, multi_line: bool = True, mo
     rows = rows.join(first, "path")
     rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + _re_escape(root.lstrip("/")) + "/", "")
     tpa = F.when(F.instr(rel, "/") > 0, F.split_part(rel, F.lit("/"), F.lit(1)))
+    if partition_dirs:
+        tpa = F.regexp_replace(tpa, "^[^=/]+=", "")
     return rows.select(tpa.alias("tpa"), rel.alias("file_name"),
                        (F.col("_mono") - F.col("_first") + 1).alias("file_row_number"),
                        file_type(rel).alias("file_type"), "raw_data")
