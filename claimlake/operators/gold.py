@@ -69,24 +69,34 @@ def member_360(claims: DataFrame, members: DataFrame, providers: DataFrame | Non
     d = as_date(as_of)
     ytd = F.year("service_date") == F.year(d)
     ct = F.col("claim_type")
-    base = claims.groupBy("member_id").agg(
-        F.count(F.lit(1)).alias("total_claims"),
-        money_sum("paid_amount").alias("total_paid"),
-        money_sum("billed_amount").alias("total_billed"),
-        F.count_if(ct == "MEDICAL").alias("medical_claims"),
-        F.count_if(ct == "DENTAL").alias("dental_claims"),
-        F.count_if(ct == "PHARMACY").alias("pharmacy_claims"),
-        F.count_if(ytd).alias("total_claims_ytd"),
-        F.coalesce(F.sum(F.when(ytd, F.col("paid_amount"))), F.lit(0)).cast(MONEY).alias("total_paid_ytd"),
-        F.max("service_date").alias("last_visit_date"))
+    # One pre-aggregation per (member, provider, diagnosis) feeds all three
+    # roll-ups; the three branches share its exchange, so the claims are read
+    # and shuffled once.
+    pre = claims.groupBy("member_id", "provider_id", "diagnosis_code").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("paid_amount").alias("paid"), F.sum("billed_amount").alias("billed"),
+        F.count_if(ct == "MEDICAL").alias("med"), F.count_if(ct == "DENTAL").alias("den"),
+        F.count_if(ct == "PHARMACY").alias("pha"), F.count_if(ytd).alias("ytd_n"),
+        F.sum(F.when(ytd, F.col("paid_amount"))).alias("ytd_paid"),
+        F.max("service_date").alias("last_visit"))
+    base = pre.groupBy("member_id").agg(
+        F.sum("n").alias("total_claims"),
+        F.sum("paid").cast(MONEY).alias("total_paid"),
+        F.sum("billed").cast(MONEY).alias("total_billed"),
+        F.sum("med").alias("medical_claims"),
+        F.sum("den").alias("dental_claims"),
+        F.sum("pha").alias("pharmacy_claims"),
+        F.sum("ytd_n").alias("total_claims_ytd"),
+        F.coalesce(F.sum("ytd_paid"), F.lit(0)).cast(MONEY).alias("total_paid_ytd"),
+        F.max("last_visit").alias("last_visit_date"))
     # Primary care provider: most claims, ties to the lowest provider id.
-    pcp = (claims.groupBy("member_id", "provider_id").agg(F.count(F.lit(1)).alias("n"))
-                 .groupBy("member_id")
-                 .agg(F.max_by("provider_id", F.struct(F.col("n"), -F.col("provider_id"))).alias("pcp_id")))
-    chronic = (claims.groupBy("member_id", "diagnosis_code").agg(F.count(F.lit(1)).alias("n"))
-                     .filter(F.col("n") >= chronic_min_claims)
-                     .groupBy("member_id")
-                     .agg(F.array_sort(F.collect_list("diagnosis_code")).alias("chronic_conditions")))
+    pcp = (pre.groupBy("member_id", "provider_id").agg(F.sum("n").alias("n"))
+              .groupBy("member_id")
+              .agg(F.max_by("provider_id", F.struct(F.col("n"), -F.col("provider_id"))).alias("pcp_id")))
+    chronic = (pre.groupBy("member_id", "diagnosis_code").agg(F.sum("n").alias("n"))
+                  .filter(F.col("n") >= chronic_min_claims)
+                  .groupBy("member_id")
+                  .agg(F.array_sort(F.collect_list("diagnosis_code")).alias("chronic_conditions")))
     m = (members.join(base, "member_id", "left").join(pcp, "member_id", "left")
                 .join(chronic, "member_id", "left"))
     if providers is not None:
