@@ -13,11 +13,13 @@ AQE, which only turns a side into a broadcast after measuring it.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.functions.text import file_type
+from claimlake.operators.joins import broadcast_if_small
 from claimlake.operators.sequence import with_sequence_id
 from claimlake.sources.tables import table
 
@@ -86,6 +88,8 @@ def claims(spark: SparkSession, d: str, with_record_id: bool = False) -> DataFra
     # twice (by order, by part) instead of three times.
     oh = (o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
            .join(m, o.o_custkey == m.member_id))
+    # small inputs: broadcast the enriched orders (checked on the file sizes)
+    oh = broadcast_if_small(oh, [os.path.join(d, f"{t}.parquet") for t in ("orders", "customer")])
     j = (l.join(oh, l.l_orderkey == oh.o_orderkey)
           .join(p.select("p_partkey", "p_type", "p_brand"), l.l_partkey == p.p_partkey))
     cols = [
