@@ -302,3 +302,13 @@ select t.table_name, coalesce(total_mappings, 0) as total_mappings, coalesce(app
 from (select distinct table_name from v_defs) t left join a on t.table_name = a.table_name""")
 def mapping_kpis(spark, d):
     return mp.mapping_kpis(b.field_mappings(spark, d), b.target_schemas(spark, d))
+
+
+@register("drop_table_counts", views=("v_defs", "v_mappings", "v_claim"), oracle="""
+select 'definitions' as object, count(*) filter (where table_name = 'DENTAL_CLAIMS') as removed from v_defs
+union all select 'mappings', count(*) filter (where target_table = 'DENTAL_CLAIMS' and tpa = 'asia') from v_mappings
+union all select 'rules', count(*) filter (where target_table = 'DENTAL_CLAIMS' and tpa = 'asia') * 9
+ from (select distinct tpa, concat(claim_type, '_CLAIMS') as target_table from v_claim)""")
+def drop_table_counts(spark, d):
+    return mp.drop_table_counts(b.target_schemas(spark, d), b.field_mappings(spark, d), b.silver_rules(spark, d),
+                                "DENTAL_CLAIMS", "asia")

@@ -153,3 +153,13 @@ def test_project_mapped_two_sources_one_target_and_blank_keys(spark):
     assert str(typed[1].V) == "2.00" and str(typed[2].V) == "3.00"
     by_join = {r.record_id: r for r in tr.project_mapped(raw, m, "T", max_case_pairs=0).collect()}
     assert by_join[1].NAME == "Ann" and by_join[1].V == "2" and by_join[2].V == "3"
+
+
+def test_quality_rules_order_and_batch_cap(spark):
+    from claimlake.operators import gold_rules as gr
+    rules = gr.catalog_df(spark, "quality")
+    names = [r.rule_name for r in gr.quality_rules_for(rules, "asia").collect()]
+    assert names[0] == "CHECK_DISCOUNT_RATE" and names[-1] == "CHECK_REQUIRED_FIELDS"  # severity text desc
+    df = spark.range(10).select(F.col("id").alias("record_id"))
+    assert [r.record_id for r in tr.batch_cap(df, 3).collect()] == [0, 1, 2]
+    assert tr.batch_cap(df, None).count() == 10
