@@ -1,44 +1,78 @@
 """Stable, dense, 1-based sequence ids without a single-partition window.
 
 A global ``row_number() OVER (ORDER BY ...)`` funnels every row through one
-task.  Here the rows are range-partitioned on the order key (sampled bounds,
-deterministic for the same input), sorted inside each partition, counted per
-partition, and each row gets ``offset(partition) + position``.  The offset
-table has one row per partition, so it is bounded by the partition count,
-never by the data.
+task.  Here the leading order key is cut into ranges at quantile boundaries
+computed once (a literal array, so every recomputation assigns the same
+range); rows are numbered inside their range by a window partitioned by the
+range, and each range adds the number of rows in all lower ranges (one small
+count per range).  Nothing is written and no partition ids are relied on.
+
+For a leading key that has no numeric order (e.g. text) the rows are
+range-partitioned and materialised with a reliable checkpoint instead, so the
+counting pass and the numbering pass read identical partitions.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlake.session import cut_lineage
 
+_QUANTILE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                   T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def with_sequence_id(df: DataFrame, order_cols: list[str], name: str = "record_id",
                      start: int = 1, num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     if num_partitions is None:
         num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    # Tie-break on every column so the order inside a partition is total and a
-    # recomputed task (lost executor) yields the same positions.
+    num_partitions = max(1, min(num_partitions, 1024))  # keeps the range search expression small
+    # Tie-break on every column so the order inside a range is total and a
+    # recomputed task numbers its rows the same way.
     tie = [c for c in df.columns if c not in order_cols and _orderable(df, c)]
     keys = [F.col(c).asc_nulls_first() for c in order_cols + tie]
-    # Range bounds are sampled per job (the sampling seed depends on the RDD
-    # id), so the sorted partitions are materialised once with a reliable
-    # checkpoint in the shared checkpoint folder: the counting pass and the
-    # numbering pass then read identical partitions, and a lost executor
-    # re-reads them instead of re-sampling.
+    lead = order_cols[0]
+    if not isinstance(df.schema[lead].dataType, _QUANTILE_TYPES):
+        return _by_checkpoint(df, order_cols, keys, name, start, num_partitions)
+    probs = [i / num_partitions for i in range(1, num_partitions)]
+    bounds = []
+    if probs:
+        row = df.agg(F.percentile_approx(F.col(lead), probs, 10000).alias("q")).first()
+        bounds = sorted(set(row["q"] or []))
+    bucket = F.when(F.col(lead).isNull(), F.lit(-1)).otherwise(_search(F.col(lead), bounds, 0, len(bounds)))
+    b = df.withColumn("_seq_bucket", bucket)
+    counts = {r["_seq_bucket"]: r["n"] for r in
+              b.groupBy("_seq_bucket").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per range
+    ordered = sorted(counts)
+    offsets = dict(zip(ordered, [0] + list(accumulate(counts[k] for k in ordered))[:-1]))
+    off = F.element_at(F.create_map(*[x for k in ordered for x in (F.lit(k), F.lit(int(offsets[k])))]),
+                       F.col("_seq_bucket")) if ordered else F.lit(0)
+    w = Window.partitionBy("_seq_bucket").orderBy(*keys)
+    return (b.withColumn(name, (off + F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
+             .drop("_seq_bucket"))
+
+
+def _search(key, bounds, i: int, j: int):
+    """Number of boundaries below ``key`` as a balanced CASE tree
+    (log2(#ranges) comparisons per row instead of one per boundary)."""
+    if i == j:
+        return F.lit(i)
+    mid = (i + j) // 2
+    return F.when(F.lit(bounds[mid]) < key, _search(key, bounds, mid + 1, j)).otherwise(_search(key, bounds, i, mid))
+
+
+def _by_checkpoint(df, order_cols, keys, name, start, num_partitions):
     ranged = cut_lineage(df.repartitionByRange(num_partitions, *keys[:len(order_cols)])
                            .sortWithinPartitions(*keys))
     ranged = (ranged.withColumn("_seq_pid", F.spark_partition_id())
                     .withColumn("_seq_mono", F.monotonically_increasing_id()))
     counts = {r["_seq_pid"]: r["n"] for r in
               ranged.groupBy("_seq_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # A range exchange may produce fewer partitions than asked for.
     sizes = [counts.get(i, 0) for i in range(max(counts, default=-1) + 1)]
     offsets = [0] + list(accumulate(sizes))[:-1]
     offset_arr = F.array(*[F.lit(int(o)) for o in offsets] or [F.lit(0)])

@@ -163,3 +163,22 @@ def test_quality_rules_order_and_batch_cap(spark):
     df = spark.range(10).select(F.col("id").alias("record_id"))
     assert [r.record_id for r in tr.batch_cap(df, 3).collect()] == [0, 1, 2]
     assert tr.batch_cap(df, None).count() == 10
+
+
+def test_sequence_ids_text_key_and_nulls(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",)], "k string")
+    rows = sorted((r.rid, r.k) for r in with_sequence_id(df, ["k"], "rid", num_partitions=3).collect())
+    assert rows == [(1, None), (2, "a"), (3, "b"), (4, "c")]
+    df2 = spark.createDataFrame([(3,), (None,), (1,), (2,), (2,)], "k int")
+    rows2 = sorted((r.rid, r.k) for r in with_sequence_id(df2, ["k"], "rid", num_partitions=4).collect())
+    assert [r[0] for r in rows2] == [1, 2, 3, 4, 5] and [r[1] for r in rows2] == [None, 1, 2, 2, 3]
+
+
+def test_resolve_keys_case_insensitive(spark):
+    m = spark.createDataFrame([("t", "first name"), ("t", "DOB"), ("t", "X")], "tpa string, source_field string")
+    sf = spark.createDataFrame([("t", "First Name"), ("t", "DOB"), ("t", "dob"), ("t", "x"), ("t", "X ")],
+                               "tpa string, source_field string")
+    got = {r.source_field: (r.raw_key, r.ambiguous) for r in tr.resolve_keys(m, sf).collect()}
+    assert got["first name"] == ("First Name", False)
+    assert got["DOB"] == ("DOB", True)  # exact spelling wins, ambiguity reported
+    assert got["X"][1] is True
