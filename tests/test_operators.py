@@ -159,7 +159,8 @@ def test_quality_rules_order_and_batch_cap(spark):
     from claimlake.operators import gold_rules as gr
     rules = gr.catalog_df(spark, "quality")
     names = [r.rule_name for r in gr.quality_rules_for(rules, "asia").collect()]
-    assert names[0] == "CHECK_DISCOUNT_RATE" and names[-1] == "CHECK_REQUIRED_FIELDS"  # severity text desc
+    assert names == ["CHECK_DATA_FRESHNESS", "CHECK_DISCOUNT_RATE", "CHECK_MEMBER_COUNT", "CHECK_NEGATIVE_AMOUNTS",
+                     "CHECK_REQUIRED_FIELDS"]  # severity text desc, then name
     df = spark.range(10).select(F.col("id").alias("record_id"))
     assert [r.record_id for r in tr.batch_cap(df, 3).collect()] == [0, 1, 2]
     assert tr.batch_cap(df, None).count() == 10
