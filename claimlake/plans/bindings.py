@@ -311,16 +311,25 @@ def target_schemas(spark: SparkSession, d: str) -> DataFrame:
 
 
 def field_mappings(spark: SparkSession, d: str) -> DataFrame:
-    """Field mappings per tenant and table present in the data."""
-    from pyspark.sql import Window as W
-    c = claims(spark, d).select("tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table")).distinct()
-    m = c.select("tpa", "target_table", F.explode(F.array(*[F.lit(f) for f in CLAIM_FIELDS])).alias("source_field"))
+    """Field mappings per tenant and table present in the data.
+
+    mapping_id is a content formula (tenant key, claim type, field position),
+    so no global numbering is needed: it is unique and orders mappings.
+    """
+    c = claims(spark, d).select("tpa", "claim_type").distinct()
+    ranks = F.broadcast(tpa_master(spark, d).select(F.col("tpa_code").alias("tpa"), "tpa_rank"))  # 5 tenants
+    c = c.join(ranks, "tpa")
+    fields = F.array(*[F.struct(F.lit(i + 1).alias("idx"), F.lit(f).alias("source_field"))
+                       for i, f in enumerate(CLAIM_FIELDS)])
+    m = c.select("tpa", "tpa_rank", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table"),
+                 F.when(F.col("claim_type") == "MEDICAL", 1).when(F.col("claim_type") == "DENTAL", 2)
+                  .otherwise(3).alias("type_rank"), F.inline(fields))
     tpa, sf = F.col("tpa"), F.col("source_field")
     manual = tpa.isin("asia", "europe")
     conf = F.when(manual, F.lit(1.0)).otherwise((F.lit(5) + F.length(sf) % 5).cast("double") / 10)
-    w = W.orderBy("tpa", "target_table", "source_field")
+    mid = (F.col("tpa_rank").cast("bigint") * 100000 + F.col("type_rank") * 1000 + F.col("idx")).cast("bigint")
     return m.select(
-        F.row_number().over(w).cast("bigint").alias("mapping_id"), "source_field",
+        mid.alias("mapping_id"), "source_field",
         F.lit("RAW_DATA_TABLE").alias("source_table"), "target_table",
         F.when((tpa == "asia") & (sf == "ALLOWED_AMOUNT"), "PAID_AMOUNT").when(sf == "CLAIM_STATUS", "STATUS")
          .otherwise(sf).alias("target_column"),

@@ -114,9 +114,10 @@ union all select table_name, 'PROCESSED_DATE', 'TIMESTAMP_NTZ', 'Y', cast(null a
 union all select table_name, 'SERVICE_YEAR', 'NUMBER(4,0)', 'Y', cast('TBD' as varchar), 'Declared service_year' from g
 union all select table_name, 'IS_ADJUSTED', 'BOOLEAN', 'N', cast('maybe' as varchar), 'Declared is_adjusted' from g
 union all select table_name, 'ADJUSTED_DATE', 'DATE', 'Y', cast('CURRENT_TIMESTAMP()' as varchar), 'Declared adjusted_date' from g"""),
-    "v_mappings": (("v_claim",), """
-select row_number() over (order by tpa, target_table, source_field) as mapping_id, source_field,
- 'RAW_DATA_TABLE' as source_table, target_table,
+    "v_mappings": (("v_claim", "v_tpa"), """
+select cast(t.tpa_rank as bigint) * 100000 + case claim_type when 'MEDICAL' then 1 when 'DENTAL' then 2 else 3 end * 1000
+   + list_position(['CLAIM_ID', 'MEMBER_ID', 'PROVIDER_ID', 'SERVICE_DATE', 'RECEIVED_DATE', 'DIAGNOSIS_CODE', 'CLAIM_STATUS', 'BILLED_AMOUNT', 'ALLOWED_AMOUNT', 'PAID_AMOUNT'], source_field) as mapping_id,
+ source_field, 'RAW_DATA_TABLE' as source_table, target_table,
  case when tpa = 'asia' and source_field = 'ALLOWED_AMOUNT' then 'PAID_AMOUNT' when source_field = 'CLAIM_STATUS' then 'STATUS'
       else source_field end as target_column, tpa,
  case when tpa in ('asia','europe') then 'MANUAL' when tpa = 'america' then 'ML_AUTO' when tpa = 'africa' then 'LLM_CORTEX'
@@ -126,8 +127,8 @@ select row_number() over (order by tpa, target_table, source_field) as mapping_i
  true as active,
  case when source_field like '%AMOUNT' then concat('TO_NUMBER(', source_field, ')')
       when source_field like '%DATE' then concat('TO_DATE(', source_field, ')') end as transformation_logic
-from (select tpa, target_table, unnest(['CLAIM_ID', 'MEMBER_ID', 'PROVIDER_ID', 'SERVICE_DATE', 'RECEIVED_DATE', 'DIAGNOSIS_CODE', 'CLAIM_STATUS', 'BILLED_AMOUNT', 'ALLOWED_AMOUNT', 'PAID_AMOUNT']) as source_field
-      from (select distinct tpa, concat(claim_type, '_CLAIMS') as target_table from v_claim))"""),
+from (select tpa, claim_type, concat(claim_type, '_CLAIMS') as target_table, unnest(['CLAIM_ID', 'MEMBER_ID', 'PROVIDER_ID', 'SERVICE_DATE', 'RECEIVED_DATE', 'DIAGNOSIS_CODE', 'CLAIM_STATUS', 'BILLED_AMOUNT', 'ALLOWED_AMOUNT', 'PAID_AMOUNT']) as source_field
+      from (select distinct tpa, claim_type from v_claim)) c join v_tpa t on c.tpa = t.tpa_code"""),
     "v_src_fields": (("v_raw",), """
 select distinct tpa, unnest(json_keys(raw_data)) as source_field from v_raw"""),
     "v_event": ((), """
