@@ -1,8 +1,6 @@
 """Plan-shape checks for the scale properties the operators promise."""
 
 import __spark_entry__ as E
-from pyspark.sql import functions as F
-
 from claimlake.operators.joins import broadcast_if_small
 
 
@@ -46,4 +44,3 @@ def test_registered_plans_have_oracles_with_same_columns(spark):
                                                                   "disposition", "slow", "errors", "application",
                                                                   "file_processing_log"))
                for n, sql in o.items())
-    del F
