@@ -19,9 +19,8 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _ts(c) -> Column:
-    # NTZ values are read as UTC wall clock (session time zone is UTC).
-    return _col(c).cast("timestamp")
+def _ntz(c) -> Column:
+    return _col(c).cast("timestamp_ntz")
 
 
 def boundary_diff(unit: str, start, end) -> Column:
@@ -36,17 +35,19 @@ def boundary_diff(unit: str, start, end) -> Column:
         return ((F.year(b) * 12 + F.month(b)) - (F.year(a) * 12 + F.month(a))).cast("bigint")
     if u in ("day", "days", "dd", "d"):
         return F.datediff(F.to_date(b), F.to_date(a)).cast("bigint")
+    # Wall-clock (NTZ) values: truncate to the unit, then count whole units
+    # with timestamp_diff -- no time-zone conversion, so DST cannot shift it.
     if u in ("hour", "hours", "hh"):
-        return ((F.unix_seconds(F.date_trunc("hour", _ts(b))) -
-                 F.unix_seconds(F.date_trunc("hour", _ts(a)))) / F.lit(3600)).cast("bigint")
+        return F.timestamp_diff("HOUR", F.date_trunc("hour", _ntz(a)), F.date_trunc("hour", _ntz(b))).cast("bigint")
     if u in ("minute", "minutes", "mi"):
-        return ((F.unix_seconds(F.date_trunc("minute", _ts(b))) -
-                 F.unix_seconds(F.date_trunc("minute", _ts(a)))) / F.lit(60)).cast("bigint")
+        return F.timestamp_diff("MINUTE", F.date_trunc("minute", _ntz(a)),
+                                F.date_trunc("minute", _ntz(b))).cast("bigint")
     if u in ("second", "seconds", "ss", "s"):
-        return (F.unix_seconds(F.date_trunc("second", _ts(b))) -
-                F.unix_seconds(F.date_trunc("second", _ts(a)))).cast("bigint")
+        return F.timestamp_diff("SECOND", F.date_trunc("second", _ntz(a)),
+                                F.date_trunc("second", _ntz(b))).cast("bigint")
     if u in ("millisecond", "milliseconds", "ms"):
-        return (F.unix_millis(_ts(b)) - F.unix_millis(_ts(a))).cast("bigint")
+        return F.timestamp_diff("MILLISECOND", F.date_trunc("millisecond", _ntz(a)),
+                                F.date_trunc("millisecond", _ntz(b))).cast("bigint")
     raise ValueError(f"unsupported unit {unit!r}")
 
 
@@ -59,17 +60,13 @@ def boundary_diff_sql(unit: str, start: str, end: str) -> str:
         return f"CAST((year({end})*12+month({end})) - (year({start})*12+month({start})) AS BIGINT)"
     if u.startswith("day"):
         return f"CAST(datediff(to_date({end}), to_date({start})) AS BIGINT)"
-    if u.startswith("hour"):
-        return (f"CAST((unix_seconds(date_trunc('HOUR', CAST({end} AS TIMESTAMP))) - "
-                f"unix_seconds(date_trunc('HOUR', CAST({start} AS TIMESTAMP)))) / 3600 AS BIGINT)")
-    if u.startswith("minute"):
-        return (f"CAST((unix_seconds(date_trunc('MINUTE', CAST({end} AS TIMESTAMP))) - "
-                f"unix_seconds(date_trunc('MINUTE', CAST({start} AS TIMESTAMP)))) / 60 AS BIGINT)")
-    if u.startswith("second"):
-        return (f"CAST(unix_seconds(date_trunc('SECOND', CAST({end} AS TIMESTAMP))) - "
-                f"unix_seconds(date_trunc('SECOND', CAST({start} AS TIMESTAMP))) AS BIGINT)")
+    for name, part in (("hour", "HOUR"), ("minute", "MINUTE"), ("second", "SECOND")):
+        if u.startswith(name):
+            return (f"CAST(timestampdiff({part}, date_trunc('{part}', CAST({start} AS TIMESTAMP_NTZ)), "
+                    f"date_trunc('{part}', CAST({end} AS TIMESTAMP_NTZ))) AS BIGINT)")
     if u.startswith("millisecond") or u == "ms":
-        return f"CAST(unix_millis(CAST({end} AS TIMESTAMP)) - unix_millis(CAST({start} AS TIMESTAMP)) AS BIGINT)"
+        return (f"CAST(timestampdiff(MILLISECOND, date_trunc('MILLISECOND', CAST({start} AS TIMESTAMP_NTZ)), "
+                f"date_trunc('MILLISECOND', CAST({end} AS TIMESTAMP_NTZ))) AS BIGINT)")
     raise ValueError(f"unsupported unit {unit!r}")
 
 
