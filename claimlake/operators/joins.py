@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BYTES = 32 << 20  # compressed parquet bytes
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+def path_bytes(spark: SparkSession, path: str) -> int | None:
+    """Bytes under ``path`` (Hadoop file system); None when unknown."""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+    except Exception:  # noqa: BLE001 - no JVM handle: size unknown
+        return None
 
 
 def broadcast_if_small(df: DataFrame, source_paths: list[str], max_bytes: int | None = None) -> DataFrame:
@@ -28,5 +32,7 @@ def broadcast_if_small(df: DataFrame, source_paths: list[str], max_bytes: int |
     spark = df.sparkSession
     if max_bytes is None:
         max_bytes = int(spark.conf.get("claimlake.broadcast.maxSourceBytes", str(DEFAULT_MAX_BYTES)))
-    total = sum(path_bytes(spark, p) for p in source_paths)
-    return F.broadcast(df) if total <= max_bytes else df
+    sizes = [path_bytes(spark, p) for p in source_paths]
+    if any(x is None for x in sizes):
+        return df  # size not proven: no broadcast
+    return F.broadcast(df) if sum(sizes) <= max_bytes else df

@@ -33,10 +33,15 @@ def spread_scan(df: DataFrame, path: str) -> DataFrame:
         return df
     from claimlake.operators.joins import path_bytes
     size = path_bytes(spark, path)
+    if size is None:
+        return df
     if size < SPREAD_MIN_BYTES:
         return df
-    want = spark.sparkContext.defaultParallelism
-    have = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    try:
+        want = spark.sparkContext.defaultParallelism
+        have = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): leave the scan as is
+        return df
     if have >= want:
         return df
     # hash of the leading (key) column: deterministic on recomputation, no
