@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.functions.dates import as_ts

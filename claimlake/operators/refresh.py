@@ -8,7 +8,6 @@ writes themselves and no step recomputes the claims joins.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from claimlake.functions.dates import as_ts
 from claimlake.operators import gold

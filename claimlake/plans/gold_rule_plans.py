@@ -174,10 +174,6 @@ vals as (
  union all select 'TOTAL_HEALTHCARE_SPEND', 'FINANCIAL', cast(sum(total_paid) as double) from fs)"""
 
 
-def _strip_with(sql: str) -> str:
-    return sql
-
-
 @register("business_metrics", views=("v_claim", "v_member", "v_provider"), oracle=METRICS_SQL + "\nselect * from vals")
 def business_metrics(spark, d):
     return gr.evaluate_metrics(spark, gr.catalog_df(spark, "metrics"), _metric_views(spark, d), b.CLAIMS_AS_OF)
