@@ -97,3 +97,12 @@ def silver_summary(spark, d):
                               "providers": b.providers(spark, d), "tenants": b.tpa_master(spark, d),
                               "files": b.raw_rows(spark, d, with_ids=False).select("file_name")},
                              {"tenants": "tpa_code", "files": "file_name"})
+
+
+@register("recent_task_executions", views=("v_task",), oracle=f"""
+select * from v_task where start_time >= timestamp '{QUEUE_AS_OF}' - interval 7 day and start_time <= timestamp '{QUEUE_AS_OF}'
+ and status = 'FAILED' order by start_time desc, run_id desc limit 100""")
+def recent_task_executions(spark, d):
+    """LOG-2: task executions of the last 7 days, one status, newest first."""
+    return lg.recent_logs(b.task_runs(spark, d), QUEUE_AS_OF, 7, ts_col="start_time", n=100, id_col="run_id",
+                          status="FAILED")
