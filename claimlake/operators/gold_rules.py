@@ -372,6 +372,26 @@ _METRIC = re.compile(r"^\s*(?P<expr>.+?)\s+FROM\s+(?P<table>[A-Za-z_][\w]*)\s*(?
                      re.IGNORECASE | re.DOTALL)
 
 
+_AGG_CALL = re.compile(r"\b(SUM|COUNT|MIN|MAX)\s*\(", re.IGNORECASE)
+
+
+def _double_aggregates(text: str) -> str:
+    """Wrap SUM/COUNT/MIN/MAX calls in CAST(... AS DOUBLE): the aggregate
+    itself stays exact (decimal sums), the ratio between aggregates is a
+    double division instead of a precision-capped decimal one."""
+    from claimlake.functions.dialect import _close
+    out, i = [], 0
+    while True:
+        m = _AGG_CALL.search(text, i)
+        if not m:
+            out.append(text[i:])
+            return "".join(out)
+        end = _close(text, m.end())
+        out.append(text[i:m.start()])
+        out.append(f"CAST({text[m.start():m.end()]}{_double_aggregates(text[m.end():end])}) AS DOUBLE)")
+        i = end + 1
+
+
 def evaluate_metrics(spark: SparkSession, metrics: DataFrame, views: dict[str, DataFrame], as_of=None,
                      tpa: str | None = None) -> DataFrame:
     """GLD-26..31: evaluate ``expr FROM table [WHERE cond]`` per active metric.
@@ -390,7 +410,7 @@ def evaluate_metrics(spark: SparkSession, metrics: DataFrame, views: dict[str, D
         src = {k.upper(): v for k, v in views.items()}[p.group("table").upper()]
         if p.group("where"):
             src = src.filter(F.expr(to_spark_sql(p.group("where"), as_of)))
-        val = F.expr(to_spark_sql(p.group("expr"), as_of)).cast("double")
+        val = F.expr(_double_aggregates(to_spark_sql(p.group("expr"), as_of))).cast("double")
         parts.append(src.agg(val.alias("metric_value"))
                         .select(F.lit(m["metric_name"]).alias("metric_name"),
                                 F.lit(m["metric_category"]).alias("metric_category"), "metric_value"))

@@ -54,7 +54,7 @@ with g as (select tpa, cast(year(service_date) as int) as claim_year, cast(month
              cast(sum(billed_amount) as decimal(28,2)) as total_billed, cast(sum(paid_amount) as decimal(28,2)) as total_paid
            from v_claim group by 1, 2, 3, 4, 5)
 select tpa, claim_year, claim_month, claim_type, provider_id,
- cast(total_billed - total_paid as double) / nullif(cast(total_billed as double), 0) as calculate_discount_rate,
+ (cast(total_billed as double) - cast(total_paid as double)) / nullif(cast(total_billed as double), 0) as calculate_discount_rate,
  cast(total_billed as double) / nullif(cast(claim_count as double), 0) as calculate_avg_per_claim_1,
  cast(total_paid as double) / nullif(cast(claim_count as double), 0) as calculate_avg_per_claim_2
 from g""")
@@ -165,7 +165,7 @@ pp as (select cast(sum(paid_amount) as decimal(28,2)) as total_paid, cast(sum(bi
        from v_claim group by tpa, provider_id, concat(year(service_date), '-Q', quarter(service_date))),
 vals as (
  select 'AVG_COST_PER_MEMBER' as metric_name, 'FINANCIAL' as metric_category,
-   cast(sum(total_paid) / count(distinct member_id) as double) as metric_value from m360
+   cast(sum(total_paid) as double) / cast(count(distinct member_id) as double) as metric_value from m360
  union all select 'HIGH_RISK_MEMBER_COUNT', 'CLINICAL', cast(count(*) as double) from m360 where risk_score >= 4
  union all select 'MEMBER_ENGAGEMENT_RATE', 'OPERATIONAL',
    cast(count(distinct case when total_claims > 0 then member_id end) as double) / cast(count(distinct member_id) as double) from m360
