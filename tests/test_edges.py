@@ -75,3 +75,21 @@ def test_same_file_name_under_two_tenants_and_unregistered(spark):
     master = spark.createDataFrame([("a", True), ("b", False)], "tpa_code string, active boolean")
     ok, other = br.split_by_registered(batch, master)
     assert [r.queue_id for r in ok.collect()] == [1] and [r.queue_id for r in other.collect()] == [2]
+
+
+def test_set_rule_active_and_code_standardisation(spark):
+    from claimlake.operators import gold_rules as gr
+    from claimlake.operators import rules as ru
+    rules = gr.catalog_df(spark, "transformation")
+    names = spark.createDataFrame([("CALCULATE_PMPM",), ("NOPE",)], "rule_name string")
+    off = {r.rule_name: r.is_active for r in gr.set_rule_active(rules, names, False).collect()}
+    assert off["CALCULATE_PMPM"] is False and off["CALCULATE_MLR"] is True and "NOPE" not in off
+    df = spark.createDataFrame([("a", "x1", "03/15/2024"), ("b", "zz", "2024-02-29"), ("c", None, "bad")],
+                               "k string, code string, d string")
+    codes = spark.createDataFrame([("x1", "X-ONE")], "code string, standard_value string")
+    out = {r.k: (r.code, r.d) for r in ru.standardize(df, {"code": "CODE", "d": "DATE"}, codes).collect()}
+    assert out["a"] == ("X-ONE", dt.date(2024, 3, 15)) and out["b"] == ("zz", dt.date(2024, 2, 29))
+    assert out["c"] == (None, None)
+    # a code table above the bound is joined without a broadcast hint
+    plan = ru.standardize(df, {"code": "CODE"}, codes, max_codes=0)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" not in plan.lower()
