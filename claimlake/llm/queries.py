@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import binary_out, common, token_counts
+from claimlake.llm import binary_out, common, license_scan, mixing, token_counts
 from claimlake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +18,18 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mixes all documents; the words that each document gives to the mix."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))
+    mixed = mixing.mix(common.stored(docs, "sizes"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scans all documents for license phrases and for blocks like license templates."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes all documents, writes the records, reads the files back; one row per document."""
     path = common.work_path(spark, "records")
@@ -36,11 +48,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
+    "op8_license_scan": op8_license_scan,
     "op9_binary_records": op9_binary_records,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_mixing": mixing.ORACLE,
+    "op8_license_scan": license_scan.ORACLE,
+}
 
 
 def queries():
