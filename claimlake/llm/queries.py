@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import binary_out, common, license_scan, mixing, token_counts
+from claimlake.llm import binary_out, common, labelled, license_scan, mixing, quality, token_counts, toxicity
 from claimlake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -25,6 +25,20 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of all documents; toxic where grade 1 or more is likelier than grade 0."""
+    docs = table(spark, sf_dir, "documents")
+    got = toxicity.graded(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return got.select("doc_id", "severity", "grade", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = quality.scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return got.select("doc_id", labelled.held_out().alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scans all documents for license phrases and for blocks like license templates."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
@@ -49,6 +63,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
+    "op4_toxicity": op4_toxicity,
+    "op7_quality": op7_quality,
     "op8_license_scan": op8_license_scan,
     "op9_binary_records": op9_binary_records,
     "op10_token_counts": op10_token_counts,
