@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import binary_out, common, labelled, license_scan, mixing, quality, token_counts, toxicity
+from claimlake.llm import binary_out, common, html_extract, labelled, license_scan, mixing, quality, token_counts, toxicity
 from claimlake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -18,6 +18,12 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.main_text(pages, html_extract.learn(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixes all documents; the words that each document gives to the mix."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))
@@ -62,6 +68,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,

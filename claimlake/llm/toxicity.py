@@ -21,24 +21,39 @@ from pyspark.sql import DataFrame
 from claimlake.llm import labelled
 
 MAX_ROWS = 10_000   # labelled rows that are fitted on, at most
-BITS = 20           # hashed words
+BITS = 22           # hashed words and word beginnings
+BEGINNINGS = (5, 6, 7, 8, 9, 10)  # so that compounds and endings of a word count too
+REMEMBERED = 300_000  # distinct words a task remembers the features of
 MAX_FEATURES = 1_000
 GRADES = 3
 _WORD = re.compile(r"[^\W_]+")
 
 
+def _hash(s: str) -> int:
+    return xxhash.xxh32_intdigest(s.encode("utf-8", "replace")) >> (32 - BITS)
+
+
+def hashed(word: str) -> list[int]:
+    """Features of a word: itself, and its beginnings of some lengths."""
+    return [_hash(word), *(_hash("^" + word[:k]) for k in BEGINNINGS if len(word) >= k)]
+
+
 def words(text: str) -> Counter:
-    """Counts of hashed words of a whole text, lower-cased, without marks."""
-    counts = Counter(_WORD.findall(text.lower()))
+    """Words of a whole text, lower-cased, without marks."""
+    return Counter(_WORD.findall(text.lower()))
+
+
+def features(text: str) -> Counter:
     out: Counter = Counter()
-    for w, n in counts.items():
-        out[xxhash.xxh32_intdigest(w.encode("utf-8", "replace")) >> (32 - BITS)] += n
+    for w, n in words(text).items():
+        for f in hashed(w):
+            out[f] += n
     return out
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = [words(t) for t in b.column("text").to_pylist()]
+        rows = [features(t) for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([
             b.column("doc_id"), b.column("label"),
             pa.array([np.fromiter(c.keys(), "<u4", len(c)).tobytes() for c in rows], pa.binary()),
@@ -100,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = MAX_ROWS) -> dict:
     for r, (i, c) in enumerate(zip(ids, counts)):
         k = at[i]
         x[r, k[k >= 0]] = np.log1p(c[k >= 0])
-        density[r] = c[(k >= 0) & markers[np.maximum(k, 0)]].sum() / max(c.sum(), 1)
+        density[r] = c[(k >= 0) & markers[np.maximum(k, 0)]].sum() / max(int(c.sum()), 1)
     middle = np.median(density[y == 1])
     w, theta = fit_ordinal(x, np.where(y == 0, 0, np.where(density > middle, 2, 1)))
     return {"features": chosen, "w": w, "theta": theta}
@@ -109,10 +124,23 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = MAX_ROWS) -> dict:
 def _scorer(model: dict):
     weight = dict(zip(model["features"].tolist(), model["w"].tolist()))
     theta = model["theta"]
+    known: dict[str, tuple] = {}
+
+    def linear(text: str) -> float:
+        counts: Counter = Counter()
+        for w, n in words(text).items():
+            f = known.get(w)
+            if f is None:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                f = known[w] = tuple(i for i in hashed(w) if i in weight)
+            for i in f:
+                counts[i] += n
+        return sum(weight[i] * np.log1p(n) for i, n in sorted(counts.items()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = np.array([sum(weight[i] * np.log1p(n) for i, n in sorted(words(t or "").items()) if i in weight) for t in b.column("text").to_pylist()], dtype=float)
+            s = np.array([linear(t or "") for t in b.column("text").to_pylist()], dtype=float)
             c = 1 / (1 + np.exp(-np.clip(s[:, None] - theta[None, :], -30, 30)))
             p = -np.diff(np.concatenate([np.ones((len(s), 1)), c, np.zeros((len(s), 1))], axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(c.sum(1), pa.float64()), pa.array(p.argmax(1).astype("int32")), pa.array(c[:, 0], pa.float64())],
