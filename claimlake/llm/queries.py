@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import binary_out, common, html_extract, labelled, license_scan, mixing, quality, token_counts, toxicity
+from claimlake.llm import binary_out, common, decontam, html_extract, labelled, license_scan, mixing, quality, token_counts, toxicity
 from claimlake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,6 +24,14 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(pages, html_extract.learn(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in each document, within the edit budget; one row per document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = decontam.find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return got.select("doc_id", (F.size("leaks") > 0).alias("contaminated"), F.size("leaks").cast("bigint").alias("n_items"),
+                      F.col("leaks.item_id").alias("item_ids"), F.array_min("leaks.edits").alias("edits"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixes all documents; the words that each document gives to the mix."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size"))
@@ -69,6 +77,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
+    "op2_decontaminate": op2_decontaminate,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op7_quality": op7_quality,
