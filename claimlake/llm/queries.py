@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import binary_out, common, decontam, html_extract, jaccard_join, labelled, license_scan, mixing, quality, token_counts, toxicity
+from claimlake.llm import binary_out, common, decontam, embed_dedup, html_extract, jaccard_join, labelled, license_scan, mixing, quality, token_counts, toxicity
 from claimlake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -46,6 +46,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "severity", "grade", (F.col("p_toxic") >= 0.5).alias("toxic"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of all embeddings: cosine 0.93 within a label."""
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 5-word shingles, Jaccard 0.75."""
     return jaccard_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_quality": op7_quality,
     "op8_license_scan": op8_license_scan,
