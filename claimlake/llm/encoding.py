@@ -2,8 +2,9 @@
 
 For a plain byte-level BPE (no normaliser, no prefix space, the usual piece
 pattern) a single blank between two non-blank characters always starts a new
-piece, so a text is the concatenation of its blank-led words and each distinct
-word is encoded by the library once per task.  Texts with any other blank run,
+piece, so a text is the concatenation of its blank-led words; letters and the
+ASCII marks that end a word are pieces of their own.  Each distinct part is
+encoded by the library once and remembered by the worker.  Texts with any other blank run,
 or with a special string in them, and all other tokenizers go to the library
 whole.
 """
@@ -12,13 +13,19 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
+import sys
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
-CACHE_WORDS = 400_000  # distinct words a task remembers; beyond that the memory starts anew
-_ODD_BLANKS = re.compile(r" \s|\s ")
+CACHE_WORDS = 400_000  # distinct words of one generation of a worker's memory; two are kept
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def _odd(word: str) -> bool:
+    """Between blanks: nothing, or other white space next to a blank."""
+    return not word or word[0].isspace() or word[-1].isspace()
 
 
 @lru_cache(maxsize=8)
@@ -38,7 +45,9 @@ class Encoder:
     """ids of texts; the tokenizer's file is opened in the task."""
 
     def __init__(self, path: str):
-        self.words: dict[str, bytes] = {}
+        self.known: dict = {None: b""}
+        self.old: dict = {}
+        self.tails: dict[str, bytes] = {}
         self.splits = False
         if path.endswith(".model"):
             import sentencepiece
@@ -65,33 +74,64 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian bytes of ``self.width``."""
-        plain = [self.splits and not _ODD_BLANKS.search(t) and not any(s in t for s in self.special) for t in texts]
+        if len(self.known) > CACHE_WORDS:  # words not used since the last change of generations are forgotten
+            self.known, self.old = {None: b""}, self.known
         out: list[bytes] = [b""] * len(texts)
-        whole = [i for i, p in enumerate(plain) if not p]
-        for i, ids in zip(whole, self.many([texts[i] for i in whole]) if whole else []):
-            out[i] = np.asarray(ids, dtype=self.width).tobytes()
-        for i, p in enumerate(plain):
-            if p:
-                out[i] = self._by_words(texts[i])
+        whole, rows, missing, get = [], [], {}, self.known.get
+        for i, t in enumerate(texts):
+            if not self.splits or any(s in t for s in self.special):
+                whole.append(i)
+                continue
+            words = t.split(" ")
+            head, words[0] = words[0], None  # the first word has no blank before it
+            got = list(map(get, words))
+            new = [k for k, g in zip(words, got) if g is None] if None in got else []
+            if _odd(head) or any(map(_odd, new)):
+                whole.append(i)
+                continue
+            missing.update(dict.fromkeys(new))
+            rows.append((i, head, words))
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+            out[i] = ids
+        self._learn(missing)
+        for (i, _, words), head in zip(rows, self._ids([r[1] for r in rows])):
+            words[0] = None
+            out[i] = head + b"".join(map(self.known.__getitem__, words))
         return out
 
-    def _by_words(self, text: str) -> bytes:
-        if not text:
-            return b""
-        # the first word has no blank before it, an inner one has; "" is the mark of a leading or trailing blank
-        parts = text.split(" ")
-        keys = [parts[0], *(" " + p for p in parts[1:])]
-        known = self.words
-        new = [k for k in dict.fromkeys(keys) if k not in known]
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(keys))
-            for a in range(0, len(new), 50_000):
-                part = new[a:a + 50_000]
-                for k, ids in zip(part, self.many(part)):
-                    known[k] = np.asarray(ids, dtype=self.width).tobytes()
-        return b"".join([known[k] for k in keys])
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        kind = "H" if self.width.itemsize == 2 else "I"
+        pack = (lambda ids: array(kind, ids).tobytes()) if sys.byteorder == "little" else (lambda ids: np.asarray(ids, dtype=self.width).tobytes())
+        return [pack(ids) for ids in self.many(texts)] if texts else []
+
+    def _learn(self, missing: dict) -> None:
+        """After this, ``known`` has the ids of a blank and the word for each of these words."""
+        known, old = self.known, self.old
+        fresh, ends = {}, {}
+        for k in missing:
+            ids = old.get(k)
+            if ids is not None:
+                known[k] = ids
+                continue
+            stem = k.rstrip(_MARKS)
+            if stem is not k and len(stem) < len(k) and stem.isalpha():  # letters, then marks: two pieces
+                ends[k] = (stem, k[len(stem):])
+                if stem not in known:
+                    if stem in old:
+                        known[stem] = old[stem]
+                    else:
+                        fresh[stem] = None
+            else:
+                fresh[k] = None
+        names = list(fresh)
+        for k, ids in zip(names, self._ids([" " + k for k in names])):
+            known[k] = ids
+        tails = list(dict.fromkeys(t for _, t in ends.values() if t not in self.tails))
+        self.tails.update(zip(tails, self._ids(tails)))
+        for k, (stem, tail) in ends.items():
+            known[k] = known[stem] + self.tails[tail]
+        if len(self.tails) > CACHE_WORDS:
+            self.tails.clear()
 
     def lengths(self, texts: list[str]) -> list[int]:
         return [len(b) // self.width.itemsize for b in self.encode(texts)]
