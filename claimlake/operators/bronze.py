@@ -227,8 +227,8 @@ def object_keys(raw: DataFrame, col: str = "raw_data") -> DataFrame:
     return raw.select("tpa", F.explode(F.json_object_keys(F.col(col))).alias("field_name"))
 
 
-def source_fields(raw: DataFrame, tpa: str | None = None, n: int = 1000) -> DataFrame:
-    """BRZ-22: distinct object keys per tenant (at most n per tenant, by name)."""
+def source_fields(raw: DataFrame, tpa: str | None = None, n: int | None = None) -> DataFrame:
+    """BRZ-22: distinct object keys per tenant; ``n`` shortens a display to the first n names per tenant."""
     r = raw if tpa is None else raw.filter(F.col("tpa") == tpa)
     keys = object_keys(r).distinct()
     if n is None:

@@ -122,19 +122,32 @@ def member_360(claims: DataFrame, members: DataFrame, providers: DataFrame | Non
 
 
 def readmissions(claims: DataFrame, days: int = 30) -> DataFrame:
-    """GLD-9: per (provider, service date) the count of readmissions.
+    """GLD-9: per (tenant, provider, service date) the count of readmissions.
 
     A readmission is a visit of the same member at the same provider 1..days
     days after the member's previous visit there.  Claims are first reduced
     to distinct (member, provider, date) rows, so the window sees at most one
     row per calendar day per pair -- a hot member cannot blow up one task.
+    A member's visits under another tenant are not visits of this one.
     """
-    visits = claims.select("member_id", "provider_id", "service_date").distinct()
-    w = Window.partitionBy("member_id", "provider_id").orderBy("service_date")
+    visits = claims.select("tpa", "member_id", "provider_id", "service_date").distinct()
+    w = Window.partitionBy("tpa", "member_id", "provider_id").orderBy("service_date")
     gap = F.datediff(F.col("service_date"), F.lag("service_date").over(w))
     return (visits.withColumn("is_readmit", (gap >= 1) & (gap <= days))
                   .filter("is_readmit")
-                  .groupBy("provider_id", "service_date").agg(F.count(F.lit(1)).alias("readmits")))
+                  .groupBy("tpa", "provider_id", "service_date").agg(F.count(F.lit(1)).alias("readmits")))
+
+
+def readmission_rates(claims: DataFrame, days: int = 30) -> DataFrame:
+    """GLD-9: per tenant, provider and quarter: claims, readmissions and their ratio."""
+    period = measurement_period().alias("measurement_period")
+    total = claims.groupBy("tpa", "provider_id", period).agg(F.count(F.lit(1)).alias("total_claims"))
+    again = (readmissions(claims, days).groupBy("tpa", "provider_id", period)
+             .agg(F.sum("readmits").cast("bigint").alias("readmissions")))
+    out = total.join(again, ["tpa", "provider_id", "measurement_period"], "left")
+    n = F.coalesce("readmissions", F.lit(0).cast("bigint"))
+    return out.select("tpa", "provider_id", "measurement_period", "total_claims", n.alias("readmissions"),
+                      ratio(n, F.col("total_claims")).alias("readmission_rate"))
 
 
 def measurement_period(date_col: str = "service_date") -> Column:
@@ -154,9 +167,9 @@ def provider_performance(claims: DataFrame, providers: DataFrame | None = None,
                  discount_rate("total_billed", "total_paid").alias("discount_rate"))
     if readmit_days is not None:
         r = (readmissions(claims, readmit_days)
-             .groupBy("provider_id", measurement_period().alias("measurement_period"))
+             .groupBy("tpa", "provider_id", measurement_period().alias("measurement_period"))
              .agg(F.sum("readmits").alias("readmits")))
-        g = (g.join(r, ["provider_id", "measurement_period"], "left")
+        g = (g.join(r, ["tpa", "provider_id", "measurement_period"], "left")
               .withColumn("readmission_rate", ratio(F.coalesce("readmits", F.lit(0)), F.col("total_claims")))
               .drop("readmits"))
     # No formula is given for the composite quality score: it stays NULL.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from claimlake.functions.dates import as_ts, boundary_diff
 
 
-def recent_logs(df: DataFrame, as_of, days: int = 7, ts_col: str = "log_timestamp", n: int | None = 100,
+def recent_logs(df: DataFrame, as_of, days: int = 7, ts_col: str = "log_timestamp", n: int | None = None,
                 like: dict | None = None, min_values: dict | None = None, id_col: str | None = None,
                 **eq) -> DataFrame:
     """LOG-1..5: last ``days`` days up to ``as_of``; equality, LIKE and minimum
@@ -28,15 +28,19 @@ def recent_logs(df: DataFrame, as_of, days: int = 7, ts_col: str = "log_timestam
     return out.limit(n) if n else out
 
 
-def file_summary(file_log: DataFrame) -> DataFrame:
-    """LOG-6: per file: stages ok / failed, last time, rows processed / failed."""
-    st = F.col("status")
-    return file_log.groupBy("file_name", "tpa").agg(
+def file_summary(file_log: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """LOG-6: per file of the last ``days`` days: stages, those ok / failed, last time, rows processed / failed;
+    the latest file first (ties by name and tenant)."""
+    st, now = F.col("status"), as_ts(as_of)
+    recent = file_log.filter((F.col("log_timestamp") >= F.timestamp_add("DAY", F.lit(-days), now)) & (F.col("log_timestamp") <= now))
+    return recent.groupBy("file_name", "tpa").agg(
+        F.count(F.lit(1)).alias("total_stages"),
         F.count_if(st == "SUCCESS").alias("stages_ok"),
         F.count_if(st == "FAILED").alias("stages_failed"),
         F.max("log_timestamp").alias("last_activity"),
         F.sum("rows_processed").cast("bigint").alias("rows_processed"),
-        F.sum("rows_failed").cast("bigint").alias("rows_failed"))
+        F.sum("rows_failed").cast("bigint").alias("rows_failed")) \
+        .orderBy(F.desc("last_activity"), "file_name", "tpa")
 
 
 def log_stats(app: DataFrame, task: DataFrame, err: DataFrame, as_of, days: int = 7) -> DataFrame:

@@ -220,7 +220,7 @@ def queue_list(spark, d):
 @register("source_fields", views=("v_raw",), oracle="""
 select distinct tpa, unnest(json_keys(raw_data)) as field_name from v_raw""")
 def source_fields(spark, d):
-    return br.source_fields(b.raw_rows(spark, d, with_ids=False).select("tpa", "raw_data"), None, 1000)
+    return br.source_fields(b.raw_rows(spark, d, with_ids=False).select("tpa", "raw_data"))
 
 
 @register("source_profile", views=("v_raw",), oracle="""

@@ -70,20 +70,36 @@ with g as (
   cast(sum(paid_amount) as decimal(28,2)) as total_paid, cast(sum(billed_amount) as decimal(28,2)) as total_billed
  from v_claim group by 1,2,3),
 r as (
- select provider_id, concat(year(service_date), '-Q', quarter(service_date)) as measurement_period, count(*) as readmits
- from (select provider_id, service_date,
-        date_diff('day', lag(service_date) over (partition by member_id, provider_id order by service_date), service_date) as gap
-       from v_claim) where gap between 1 and 30 group by 1, 2)
+ -- a visit counts when the same member's visit of this tenant and provider before it lies 1 to 30 days back
+ select tpa, provider_id, concat(year(service_date), '-Q', quarter(service_date)) as measurement_period, count(*) as readmits
+ from (select distinct tpa, provider_id, member_id, service_date from v_claim) v
+ where exists (select 1 from v_claim e where e.tpa = v.tpa and e.provider_id = v.provider_id and e.member_id = v.member_id
+   and e.service_date < v.service_date and date_diff('day', e.service_date, v.service_date) <= 30)
+ group by 1, 2, 3)
 select g.*, cast(total_paid as double) / nullif(cast(unique_members as double), 0) as avg_cost_per_member,
  cast(total_paid as double) / nullif(cast(total_claims as double), 0) as avg_cost_per_claim,
  cast(total_billed - total_paid as double) / nullif(cast(total_billed as double), 0) as discount_rate,
  cast(coalesce(r.readmits, 0) as double) / nullif(cast(total_claims as double), 0) as readmission_rate,
  cast(null as double) as quality_score, p.provider_name, p.specialty as provider_specialty, p.provider_type
-from g left join r using (provider_id, measurement_period) left join v_provider p using (provider_id)""")
+from g left join r using (tpa, provider_id, measurement_period) left join v_provider p using (provider_id)""")
 def provider_performance(spark, d):
     return gold.provider_performance(b.claims(spark, d), b.providers(spark, d))
 
 
+@register("readmission_rate", views=("v_claim",), oracle="""
+with v as (select distinct tpa, provider_id, member_id, service_date from v_claim),
+r as (select tpa, provider_id, concat(year(service_date), '-Q', quarter(service_date)) as measurement_period, count(*) as n
+ from v where exists (select 1 from v e where e.tpa = v.tpa and e.provider_id = v.provider_id and e.member_id = v.member_id
+  and e.service_date < v.service_date and date_diff('day', e.service_date, v.service_date) <= 30) group by 1, 2, 3),
+g as (select tpa, provider_id, concat(year(service_date), '-Q', quarter(service_date)) as measurement_period,
+ count(*) as total_claims from v_claim group by 1, 2, 3)
+select g.*, cast(coalesce(r.n, 0) as bigint) as readmissions,
+ cast(coalesce(r.n, 0) as double) / nullif(cast(total_claims as double), 0) as readmission_rate
+from g left join r using (tpa, provider_id, measurement_period)""")
+def readmission_rate(spark, d):
+    return gold.readmission_rates(b.claims(spark, d))
+
+
 @register("financial_summary", views=("v_claim",), oracle="""
 select tpa, cast(year(service_date) as int) as fiscal_year, cast(month(service_date) as int) as fiscal_month,
  cast(quarter(service_date) as int) as fiscal_quarter,

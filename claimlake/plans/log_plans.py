@@ -45,13 +45,14 @@ def file_processing_log(spark, d):
                           like={"file_name": "asia/%", "stage": "PROC%"})
 
 
-@register("file_processing_summary", views=("v_file_log",), oracle="""
-select file_name, tpa, count(*) filter (where status = 'SUCCESS') as stages_ok,
+@register("file_processing_summary", views=("v_file_log",), oracle=f"""
+select file_name, tpa, count(*) as total_stages, count(*) filter (where status = 'SUCCESS') as stages_ok,
  count(*) filter (where status = 'FAILED') as stages_failed, max(log_timestamp) as last_activity,
  cast(sum(rows_processed) as bigint) as rows_processed, cast(sum(rows_failed) as bigint) as rows_failed
-from v_file_log group by file_name, tpa""")
+from v_file_log where log_timestamp >= timestamp '{QUEUE_AS_OF}' - interval 7 day and log_timestamp <= timestamp '{QUEUE_AS_OF}'
+group by file_name, tpa order by last_activity desc, file_name, tpa""")
 def file_processing_summary(spark, d):
-    return lg.file_summary(b.file_log(spark, d))
+    return lg.file_summary(b.file_log(spark, d), QUEUE_AS_OF)
 
 
 @register("log_stats", views=("v_log", "v_task", "v_error"), oracle=f"""

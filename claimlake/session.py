@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -46,8 +47,9 @@ def get_spark(master: str | None = None, app: str = "claimlake",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) a fresh folder is made
-    under the system temp root and registered with the context.
+    Only a local session (tests) may leave it unset; it gets a fresh folder
+    under the system temp root.  On a cluster such a folder would be another
+    one on each machine, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="claimlake-ckpt-")
     sc.setCheckpointDir(d)
     return d

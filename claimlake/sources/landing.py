@@ -9,19 +9,29 @@ keeps leading zeros and decimal text exactly as landed.
 
 from __future__ import annotations
 
-import gzip
-import io
-import zlib
+import re
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from claimlake.functions.text import file_type
 
-HEADER_PREFIX_BYTES = 1 << 16
-_HEADER_SCHEMA = T.StructType([T.StructField("header", T.StringType()), T.StructField("encoding", T.StringType())])
+def _decoded(uri):
+    """A ``_metadata.file_path`` without its percent codes, as readers take it."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def _below(spark: SparkSession, uri, root: str):
+    """Name of a file relative to ``root``: decoded, without scheme and host, for any file system.
+
+    ``uri`` is a ``_metadata.file_path`` (percent-encoded).
+    """
+    hp = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = hp.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hp).toUri().getPath().rstrip("/")
+    path = _decoded(F.regexp_replace(uri, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""))
+    return F.regexp_replace(path, "^/*" + re.escape(base.lstrip("/")) + "/", "")
 
 
 def list_landing(spark: SparkSession, root: str) -> DataFrame:
@@ -31,74 +41,28 @@ def list_landing(spark: SparkSession, root: str) -> DataFrame:
     """
     root = root.rstrip("/")
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-               .select("path", "length", "modificationTime"))
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + _re_escape(root.lstrip("/")) + "/", "")
-    return df.select("path", rel.alias("file_name"), F.col("length").alias("size"),
+               .select("path", F.col("_metadata.file_path").alias("uri"), "length", "modificationTime"))
+    return df.select("path", _below(spark, F.col("uri"), root).alias("file_name"), F.col("length").alias("size"),
                      F.col("modificationTime").cast("timestamp_ntz").alias("modification_time"))
 
 
-def _re_escape(s: str) -> str:
-    import re
-    return re.escape(s)
-
-
-def _decode_header(raw: bytes, gz: bool, valid_utf8) -> tuple[str, str]:
-    data = raw
-    if gz:
-        d = zlib.decompressobj(16 + zlib.MAX_WBITS)
-        data = d.decompress(raw, HEADER_PREFIX_BYTES)
-    line = data.split(b"\n", 1)[0].rstrip(b"\r")
-    if line.startswith(b"\xef\xbb\xbf"):
-        line = line[3:]
-    enc = "UTF-8"
-    if valid_utf8 is False:
-        enc = "ISO-8859-1"
-    else:
-        try:
-            line.decode("utf-8")
-        except UnicodeDecodeError:
-            enc = "ISO-8859-1"
-    return line.decode("utf-8" if enc == "UTF-8" else "latin-1"), enc
-
-
-def _gz_is_utf8(raw: bytes) -> bool:
-    try:
-        with gzip.GzipFile(fileobj=io.BytesIO(raw)) as fh:
-            dec = io.TextIOWrapper(fh, encoding="utf-8", errors="strict")
-            while dec.read(1 << 20):
-                pass
-        return True
-    except UnicodeDecodeError:
-        return False
-
-
-@F.pandas_udf(_HEADER_SCHEMA)
-def _header_udf(content: pd.Series, is_gz: pd.Series, utf8: pd.Series) -> pd.DataFrame:
-    heads, encs = [], []
-    for raw, gz, ok in zip(content, is_gz, utf8):
-        raw = bytes(raw) if raw is not None else b""
-        valid = ok if not gz else _gz_is_utf8(raw)
-        h, e = _decode_header(raw, bool(gz), bool(valid) if valid is not None else None)
-        heads.append(h)
-        encs.append(e)
-    return pd.DataFrame({"header": heads, "encoding": encs})
-
-
 def file_headers(spark: SparkSession, root: str, pattern: str = "(?i).*\\.csv(\\.gz)?$",
                  paths: list[str] | None = None) -> DataFrame:
     """One row per CSV file: path, header line, encoding.
 
-    Plain files send only their first 64 KiB to Python (the UTF-8 check of the
-    whole file runs in the JVM); gzip files are checked while decompressing.
+    The files are read once as lines (gzip is unpacked by Spark); a file is
+    ISO-8859-1 as soon as one of its lines is not valid UTF-8.  The header is
+    the first line, whatever its length.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    b = (reader.load(paths) if paths else reader.load(root.rstrip("/"))).filter(F.col("path").rlike(pattern))
-    gz = F.lower(F.col("path")).endswith(".gz")
-    sent = F.when(gz, F.col("content")).otherwise(F.substring("content", 1, HEADER_PREFIX_BYTES))
-    return (b.select("path", sent.alias("c"), gz.alias("gz"),
-                     F.when(~gz, F.is_valid_utf8(F.col("content").cast("string"))).alias("u8"))
-             .select("path", _header_udf("c", "gz", "u8").alias("h"))
-             .select("path", "h.header", "h.encoding"))
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]*")
+    lines = (reader.text(paths) if paths else reader.text(root.rstrip("/")))
+    lines = lines.select(_decoded(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    lines = lines.filter(F.col("path").rlike(pattern)).withColumn("i", F.monotonically_increasing_id())
+    heads = lines.groupBy("path").agg(F.min_by("value", F.when(F.col("at") == 0, F.col("i"))).alias("header"),
+                                      F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    latin = F.decode(F.col("header").cast("binary"), "ISO-8859-1")
+    return heads.select("path", F.when(F.col("utf8"), F.regexp_replace("header", "^\ufeff", "")).otherwise(latin).alias("header"),
+                        F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"))
 
 
 def _split_header(header: str) -> list[str]:
@@ -122,7 +86,7 @@ def read_landing_csv(spark: SparkSession, root: str, multi_line: bool = True, mo
 
     Output: tpa (first folder under ``root``; files directly under ``root``
     have none), file_name (relative), file_row_number (1-based, data rows),
-    file_type, raw_data.  Empty cells stay as empty strings; key names keep
+    file_type, raw_data.  Empty cells are nulls under their key; key names keep
     their spelling.  The header collect is one row per distinct
     (header, encoding) -- bounded by the number of file layouts.  ``paths``
     limits the scan to given files (streaming micro-batches);
@@ -141,8 +105,9 @@ def read_landing_csv(spark: SparkSession, root: str, multi_line: bool = True, mo
         df = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
                    .option("encoding", g["encoding"]).option("mode", mode).option("escape", '"')
                    .csv(list(g["paths"])))
-        obj = F.to_json(F.struct(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in cols]))
-        parts.append(df.select(F.col("_metadata.file_path").alias("path"), obj.alias("raw_data"),
+        obj = F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols]), {"ignoreNullFields": "false"})
+        parts.append(df.select(F.col("_metadata.file_path").alias("path"),
+                               F.col("_metadata.file_block_start").alias("_at"), obj.alias("raw_data"),
                                F.monotonically_increasing_id().alias("_mono")))
     if not parts:
         return spark.createDataFrame([], "tpa string, file_name string, file_row_number long, file_type string, "
@@ -150,16 +115,18 @@ def read_landing_csv(spark: SparkSession, root: str, multi_line: bool = True, mo
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    # A file is read sequentially by one task (not splittable with multiLine),
-    # so its rows have increasing ids; the per-file minimum gives the offset.
-    first = rows.groupBy("path").agg(F.min("_mono").alias("_first"))
-    rows = rows.join(first, "path")
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + _re_escape(root.lstrip("/")) + "/", "")
+    # A split is read in order by one task, so its rows have increasing ids; the
+    # rows of a file's earlier splits are added (one row per split is summed up).
+    splits = rows.groupBy("path", "_at").agg(F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("path").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    rows = rows.join(splits.select("path", "_at", "_first", "_before"), ["path", "_at"])
+    rel = _below(spark, F.col("path"), root)
     tpa = F.when(F.instr(rel, "/") > 0, F.split_part(rel, F.lit("/"), F.lit(1)))
     if partition_dirs:
         tpa = F.regexp_replace(tpa, "^[^=/]+=", "")
     return rows.select(tpa.alias("tpa"), rel.alias("file_name"),
-                       (F.col("_mono") - F.col("_first") + 1).alias("file_row_number"),
+                       (F.col("_mono") - F.col("_first") + 1 + F.col("_before")).alias("file_row_number"),
                        file_type(rel).alias("file_type"), "raw_data")
 
 

@@ -151,8 +151,44 @@ def test_project_mapped_two_sources_one_target_and_blank_keys(spark):
     assert out[1].NAME == "Ann" and out[1].V == "2" and out[2].V == "3"
     typed = {r.record_id: r for r in tr.project_mapped(raw, m, "T", apply_logic=True).collect()}
     assert str(typed[1].V) == "2.00" and str(typed[2].V) == "3.00"
-    by_join = {r.record_id: r for r in tr.project_mapped(raw, m, "T", max_case_pairs=0).collect()}
-    assert by_join[1].NAME == "Ann" and by_join[1].V == "2" and by_join[2].V == "3"
+
+
+def test_project_mapped_is_the_same_for_few_and_many_mappings(spark):
+    schema = ("mapping_id long, tpa string, source_field string, target_table string, target_column string, "
+              "mapping_method string, approved boolean, active boolean, transformation_logic string")
+    few = [(i, "a", f"K{i}", "T", f"C{i}", "MANUAL", True, True, "TO_NUMBER(K%d)" % i if i % 2 else None) for i in range(10)]
+    many = few + [(100 + 10 * k + i, f"t{k}", f"F{i}", "T", f"C{i}", "MANUAL", True, True, "TO_NUMBER(F%d)" % i if i % 2 else None)
+                  for k in range(1000) for i in range(10)]
+    raw = spark.createDataFrame([(1, "f", 1, "a", '{"K0":"x","K1":"2.5","K3":"bad"}'), (2, "f", 2, "a", '{"other":"1"}'),
+                                 (3, "f", 3, "t7", '{"F1":"4","F2":null}'), (4, "f", 4, "nobody", '{"F1":"4"}')],
+                                "record_id long, file_name string, file_row_number long, tpa string, raw_data string")
+    a = tr.project_mapped(raw, spark.createDataFrame(few, schema), "T", apply_logic=True)
+    b = tr.project_mapped(raw, spark.createDataFrame(many, schema), "T", apply_logic=True)
+    assert a.schema == b.schema and dict(a.dtypes)["C1"].startswith("decimal") and dict(a.dtypes)["C0"] == "string"
+    rows_a, rows_b = ({r.record_id: r for r in x.collect()} for x in (a, b))
+    assert set(rows_a) == {1, 2} and set(rows_b) == {1, 2, 3} and all(rows_a[k] == rows_b[k] for k in rows_a)
+    assert rows_a[2].C0 is None and rows_a[1].C0 == "x" and str(rows_a[1].C1) == "2.50" and rows_a[1].C3 is None and str(rows_b[3].C1) == "4.00"
+
+
+def test_readmissions_stay_within_a_tenant(spark):
+    from claimlake.operators import gold
+    rows = [("a", "m", "p", "2024-01-01"), ("b", "m", "p", "2024-01-10"), ("a", "m", "p", "2024-01-20"), ("a", "n", "p", "2024-01-05")]
+    c = spark.createDataFrame(rows, "tpa string, member_id string, provider_id string, d string").select("*", F.to_date("d").alias("service_date"))
+    got = {r.tpa: (r.total_claims, r.readmissions) for r in gold.readmission_rates(c).collect()}
+    assert got == {"a": (3, 1), "b": (1, 0)}
+
+
+def test_fuzzy_words_of_any_script(spark):
+    from claimlake.operators import rules
+    df = spark.createDataFrame([(1, "данные клиента номер один"), (2, "совсем другой текст здесь"), (3, "данные клиента номер один")], "id long, t string")
+    got = {r.id: r.duplicate_of for r in rules.fuzzy_dedupe(df, "id", "t").collect()}
+    assert got == {1: None, 2: None, 3: 1}
+
+
+def test_suggestions_with_quoted_confidence(spark):
+    from claimlake.operators import mapping as mp
+    df = spark.createDataFrame([('[{"source_field":"a","target_field":"b","confidence":"0.9","reasoning":"r"}]',)], "response string")
+    assert [r.confidence for r in mp.parse_responses(df).collect()] == [0.9]
 
 
 def test_quality_rules_order_and_batch_cap(spark):

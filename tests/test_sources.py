@@ -33,7 +33,7 @@ def test_read_landing_csv_keeps_each_header_and_text(spark, landing_root):
     assert first["NPI"] == "0123456789" and first["BILLED_AMOUNT"] == "150.00"
     assert first["PROVIDER_NAME"] == "Smile, Dental"
     assert json.loads(dental[1].raw_data)["PROVIDER_NAME"] == "Two\nLines Dental"
-    assert json.loads(dental[2].raw_data)["DOB"] == ""  # empty cell kept as a key
+    assert json.loads(dental[2].raw_data)["DOB"] is None  # an empty cell is a null under its key
     assert dental[0].tpa == "provider_a" and dental[0].file_type == "CSV"
     medical = by_file["provider_b/medical-claims-20240115.csv"]
     assert set(json.loads(medical[0].raw_data)) >= {"CHARGE_AMOUNT", "PAYMENT_AMOUNT"}
@@ -89,3 +89,25 @@ def test_excel_workbook_all_sheets(spark, tmp_path):
     assert json.loads(rows[0].raw_data) == {"CLAIM_ID": "X-1", "AMOUNT": "12.5"}
     assert json.loads(rows[1].raw_data)["AMOUNT"] == ""
     assert rows[0].tpa == "provider_d" and rows[0].file_type == "EXCEL"
+
+
+def test_landing_names_wide_header_and_split_files(spark, tmp_path):
+    root = tmp_path / "land ing"
+    (root / "tenant x").mkdir(parents=True)
+    names = [f"COLUMN_NUMBER_{i}" for i in range(6000)]
+    (root / "tenant x" / "my+file 1.csv").write_text(",".join(names) + "\n" + ",".join("v" for _ in names) + "\n")
+    (root / "tenant x" / "long.csv").write_text("A,B\n" + "".join(f"{i},x\n" for i in range(1, 30001)))
+    for r in (str(root), "file://" + str(root)):
+        got = landing.read_landing_csv(spark, r).collect()
+        assert {x.tpa for x in got} == {"tenant x"} and {x.file_name for x in got} == {"tenant x/my+file 1.csv", "tenant x/long.csv"}
+        wide = json.loads(next(x.raw_data for x in got if "my+" in x.file_name))
+        assert list(wide) == names
+        assert {x.file_name for x in landing.list_landing(spark, r).collect()} == {x.file_name for x in got}
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        rows = [x for x in landing.read_landing_csv(spark, str(root), multi_line=False).collect() if "long" in x.file_name]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(x.file_row_number for x in rows) == list(range(1, 30001))
+    assert all(json.loads(x.raw_data)["A"] == str(x.file_row_number) for x in rows)
