@@ -9,8 +9,9 @@ one scan per rule.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,26 +24,26 @@ TRANSFORMATION_RULES = [
     # (rule_name, rule_type, tpa, source_table, target_table, rule_logic, priority, execution_order)
     ("AGGREGATE_CLAIMS_BY_PERIOD_PROVIDER", "AGGREGATION", "ALL", "SILVER.CLAIMS_*", "CLAIMS_ANALYTICS_ALL",
      "GROUP BY YEAR(service_date), MONTH(service_date), claim_type, provider_id", 100, 1),
-    ("CALCULATE_DISCOUNT_RATE", "CALCULATION", "ALL", "SILVER.CLAIMS_*", "CLAIMS_ANALYTICS_ALL",
+    ("CALCULATE_DISCOUNT_RATE", "CALCULATION", "ALL", "CLAIMS_ANALYTICS_ALL", "CLAIMS_ANALYTICS_ALL",
      "(total_billed_amount - total_paid_amount) / NULLIF(total_billed_amount, 0)", 100, 2),
-    ("CALCULATE_AVG_PER_CLAIM", "CALCULATION", "ALL", "SILVER.CLAIMS_*", "CLAIMS_ANALYTICS_ALL",
+    ("CALCULATE_AVG_PER_CLAIM", "CALCULATION", "ALL", "CLAIMS_ANALYTICS_ALL", "CLAIMS_ANALYTICS_ALL",
      "total_billed_amount / NULLIF(claim_count, 0), total_paid_amount / NULLIF(claim_count, 0)", 100, 3),
     ("AGGREGATE_MEMBER_CLAIMS", "AGGREGATION", "ALL", "SILVER.CLAIMS_*", "MEMBER_360_ALL",
      "GROUP BY member_id, COUNT(*), SUM(paid_amount)", 100, 1),
-    ("CALCULATE_MEMBER_AGE", "CALCULATION", "ALL", "SILVER.CLAIMS_*", "MEMBER_360_ALL",
+    ("CALCULATE_MEMBER_AGE", "CALCULATION", "ALL", "MEMBER_360_ALL", "MEMBER_360_ALL",
      "DATEDIFF(YEAR, date_of_birth, CURRENT_DATE())", 100, 2),
-    ("CALCULATE_RISK_SCORE", "CALCULATION", "ALL", "SILVER.CLAIMS_*", "MEMBER_360_ALL",
+    ("CALCULATE_RISK_SCORE", "CALCULATION", "ALL", "MEMBER_360_ALL", "MEMBER_360_ALL",
      "CASE WHEN total_paid > 50000 THEN 5 WHEN total_paid > 25000 THEN 4 WHEN total_paid > 10000 THEN 3 "
      "WHEN total_paid > 5000 THEN 2 ELSE 1 END", 100, 3),
     ("AGGREGATE_PROVIDER_METRICS", "AGGREGATION", "ALL", "SILVER.CLAIMS_*", "PROVIDER_PERFORMANCE_ALL",
      "GROUP BY provider_id, measurement_period", 100, 1),
-    ("CALCULATE_PROVIDER_EFFICIENCY", "CALCULATION", "ALL", "SILVER.CLAIMS_*", "PROVIDER_PERFORMANCE_ALL",
+    ("CALCULATE_PROVIDER_EFFICIENCY", "CALCULATION", "ALL", "PROVIDER_PERFORMANCE_ALL", "PROVIDER_PERFORMANCE_ALL",
      "total_paid / NULLIF(unique_members, 0), total_paid / NULLIF(total_claims, 0)", 100, 2),
     ("AGGREGATE_FINANCIAL_METRICS", "AGGREGATION", "ALL", "SILVER.CLAIMS_*", "FINANCIAL_SUMMARY_ALL",
      "GROUP BY fiscal_year, fiscal_month, claim_type", 100, 1),
-    ("CALCULATE_PMPM", "CALCULATION", "ALL", "SILVER.CLAIMS_*", "FINANCIAL_SUMMARY_ALL",
+    ("CALCULATE_PMPM", "CALCULATION", "ALL", "FINANCIAL_SUMMARY_ALL", "FINANCIAL_SUMMARY_ALL",
      "total_paid / NULLIF(member_count, 0)", 100, 2),
-    ("CALCULATE_MLR", "CALCULATION", "ALL", "SILVER.CLAIMS_*", "FINANCIAL_SUMMARY_ALL",
+    ("CALCULATE_MLR", "CALCULATION", "ALL", "FINANCIAL_SUMMARY_ALL", "FINANCIAL_SUMMARY_ALL",
      "total_paid / NULLIF(total_billed, 0)", 100, 3),
 ]
 QUALITY_RULES = [
@@ -125,9 +126,6 @@ def quality_rules_for(rules: DataFrame, tpa: str | None = None) -> DataFrame:
 
 # -- rule-driven aggregation and calculations -------------------------------------------
 
-_AGG = {"SUM": F.sum, "AVG": None, "COUNT": F.count, "MIN": F.min, "MAX": F.max}
-
-
 def run_gold_mappings(src: DataFrame, mappings: DataFrame, target_table: str, order_col: str = "service_date",
                       as_of=None) -> DataFrame:
     """GLD-14: compile gold field mappings into one grouped aggregate.
@@ -140,7 +138,10 @@ def run_gold_mappings(src: DataFrame, mappings: DataFrame, target_table: str, or
                                                 & F.coalesce(F.col("is_active"), F.lit(True))).collect()]
     if not rows:
         raise ValueError(f"no mappings for {target_table}")
-    groups = [g.strip() for g in (rows[0]["group_by_fields"] or "").split(",") if g.strip()]
+    lists = {tuple(g.strip() for g in (r["group_by_fields"] or "").split(",") if g.strip()) for r in rows}
+    if len(lists) > 1:
+        raise ValueError(f"mappings of {target_table} group by different lists: {sorted(lists)}")
+    groups = list(next(iter(lists)))
     aggs = []
     for r in sorted(rows, key=lambda r: (r.get("priority") or 0, r["target_field"])):
         logic = r.get("transformation_logic") or r["source_field"]
@@ -248,7 +249,7 @@ def _has_aggregate(df: DataFrame, text: str) -> bool:
 
 def run_quality_rules(tables: dict[str, DataFrame], rules: DataFrame, run_id: str, as_of,
                       tenant_col: str = "tpa") -> DataFrame:
-    """GLD-16..21: evaluate active quality rules, one aggregate per table.
+    """GLD-16..21: evaluate active quality rules, one aggregate per table and tenant scope (ALL: all rows).
 
     Row rules count passing rows (NULL counts as failed) with ``count_if``;
     aggregate rules (e.g. freshness) are one predicate over the table.  The
@@ -261,11 +262,12 @@ def run_quality_rules(tables: dict[str, DataFrame], rules: DataFrame, run_id: st
     rs = [r.asDict() for r in rules.filter(F.coalesce(F.col("is_active"), F.lit(True))).collect()]
     parts = []
     broken = []
-    for tname, df in tables.items():
-        d = with_synonyms(df)
-        mine = [r for r in rs if r["table_name"] == tname]
-        if not mine:
-            continue
+    scopes = sorted({(r["table_name"], r.get("tpa") or "ALL") for r in rs if r["table_name"] in tables})
+    for tname, tenant in scopes:
+        # a tenant's rule sees that tenant's rows
+        df = tables[tname]
+        d = with_synonyms(df if tenant == "ALL" or tenant_col not in df.columns else df.filter(F.col(tenant_col) == tenant))
+        mine = [r for r in rs if r["table_name"] == tname and (r.get("tpa") or "ALL") == tenant]
         aggs = [F.count(F.lit(1)).alias("_n")]
         meta = []
         for i, r in enumerate(mine):
@@ -372,10 +374,13 @@ _METRIC = re.compile(r"^\s*(?P<expr>.+?)\s+FROM\s+(?P<table>[A-Za-z_][\w]*)\s*(?
                      re.IGNORECASE | re.DOTALL)
 
 
-_AGG_CALL = re.compile(r"\b(SUM|COUNT|MIN|MAX)\s*\(", re.IGNORECASE)
+_AGG_CALL = re.compile(r"\b(SUM|COUNT|MIN|MAX|AVG)\s*\(", re.IGNORECASE)
+# aggregates that take no filter clause here: a metric with one and a condition scans on its own
+_OTHER_AGG = re.compile(r"\b(STD\w*|VAR\w*|MEDIAN|MODE|PERCENTILE\w*|APPROX\w*|ANY_VALUE|CORR|COVAR\w*|COUNT_IF|BOOL_\w+|EVERY|SOME|ANY|FIRST\w*|LAST\w*|M(?:AX|IN)_BY)\s*\(",
+                        re.IGNORECASE)
 
 
-def _double_aggregates(text: str) -> str:
+def _double_aggregates(text: str, where: str | None = None) -> str:
     """Wrap SUM/COUNT/MIN/MAX calls in CAST(... AS DOUBLE): the aggregate
     itself stays exact (decimal sums), the ratio between aggregates is a
     double division instead of a precision-capped decimal one."""
@@ -388,7 +393,8 @@ def _double_aggregates(text: str) -> str:
             return "".join(out)
         end = _close(text, m.end())
         out.append(text[i:m.start()])
-        out.append(f"CAST({text[m.start():m.end()]}{_double_aggregates(text[m.end():end])}) AS DOUBLE)")
+        only = f" FILTER (WHERE {where})" if where else ""
+        out.append(f"CAST({text[m.start():m.end()]}{text[m.end():end]}){only} AS DOUBLE)")
         i = end + 1
 
 
@@ -396,28 +402,51 @@ def evaluate_metrics(spark: SparkSession, metrics: DataFrame, views: dict[str, D
                      tpa: str | None = None) -> DataFrame:
     """GLD-26..31: evaluate ``expr FROM table [WHERE cond]`` per active metric.
 
-    Only the tables in ``views`` may be named (a whitelist); each metric is one
-    aggregate over its table, the results are unioned.
+    Only the tables in ``views`` may be named (a whitelist).  A metric of a
+    tenant sees that tenant's rows.  All metrics of a table are one aggregate:
+    conditions are filters of its calls.  A text that names another table or
+    does not resolve gives a NULL value; the other metrics stay.
     """
     ms = [m.asDict() for m in metrics.filter(F.coalesce(F.col("is_active"), F.lit(True))).collect()]
+    tables = {k.upper(): v for k, v in views.items()}
+    row = lambda m, value: F.struct(F.lit(m["metric_name"]).alias("metric_name"), F.lit(m["metric_category"]).alias("metric_category"),
+                                    value.cast("double").alias("metric_value"))
+    found: dict[str | None, list] = {}
     parts = []
     for m in sorted(ms, key=lambda m: m["metric_name"]):
         if tpa is not None and m["tpa"] not in (tpa, "ALL"):
             continue
         p = _METRIC.match(m["calculation_logic"])
-        if not p or p.group("table").upper() not in {k.upper() for k in views}:
-            raise ValueError(f"metric {m['metric_name']}: unsupported text {m['calculation_logic']!r}")
-        src = {k.upper(): v for k, v in views.items()}[p.group("table").upper()]
+        name = p.group("table").upper() if p else None
+        if name not in tables:
+            found.setdefault(None, []).append((m, None))
+            continue
+        src, only = tables[name], []
         if p.group("where"):
-            src = src.filter(F.expr(to_spark_sql(p.group("where"), as_of)))
-        val = F.expr(_double_aggregates(to_spark_sql(p.group("expr"), as_of))).cast("double")
-        parts.append(src.agg(val.alias("metric_value"))
-                        .select(F.lit(m["metric_name"]).alias("metric_name"),
-                                F.lit(m["metric_category"]).alias("metric_category"), "metric_value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            only.append(f"({to_spark_sql(p.group('where'), as_of)})")
+        if m["tpa"] not in (None, "ALL") and "tpa" in src.columns:
+            only.append("tpa = '" + m["tpa"].replace("'", "\\'") + "'")
+        text, where = to_spark_sql(p.group("expr"), as_of), " AND ".join(only) or None
+        try:
+            if where and _OTHER_AGG.search(text):
+                alone = src.filter(where).agg(F.expr(_double_aggregates(text)).alias("_m"))
+                alone.schema  # analysis only
+                parts.append(alone.select(F.inline(F.array(row(m, F.col("_m"))))))
+                continue
+            text = _double_aggregates(text, where)
+            src.agg(F.expr(text)).schema  # analysis only
+            found.setdefault(name, []).append((m, text))
+        except (AnalysisException, ParseException):
+            found.setdefault(None, []).append((m, None))
+    for name, items in found.items():
+        if name is None:
+            parts.append(spark.range(1).select(F.inline(F.array(*[row(m, F.lit(None)) for m, _ in items]))))
+            continue
+        g = tables[name].agg(*[F.expr(t).cast("double").alias(f"_m{i}") for i, (_, t) in enumerate(items)])
+        parts.append(g.select(F.inline(F.array(*[row(m, F.col(f"_m{i}")) for i, (m, _) in enumerate(items)]))))
+    if not parts:
+        return spark.createDataFrame([], "metric_name string, metric_category string, metric_value double")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def metric_catalog(metrics: DataFrame, tpa: str | None = None) -> DataFrame:

@@ -219,3 +219,42 @@ def test_resolve_keys_case_insensitive(spark):
     assert got["first name"] == ("First Name", False)
     assert got["DOB"] == ("DOB", True)  # exact spelling wins, ambiguity reported
     assert got["X"][1] is True
+
+
+def test_metrics_per_tenant_and_bad_texts(spark):
+    from claimlake.operators import gold_rules as gr
+    t = spark.createDataFrame([("a", 1.0, "x"), ("a", 3.0, "y"), ("b", 10.0, "x")], "tpa string, v double, k string")
+    ms = spark.createDataFrame([("all", "c", "ALL", "SUM(v) FROM T", True), ("of_b", "c", "b", "SUM(v) FROM T", True), ("cond", "c", "a", "AVG(v) FROM T WHERE k = 'y'", True),
+                                ("bad", "c", "ALL", "SUM(nope) FROM T", True), ("other", "c", "ALL", "SUM(v) FROM U", True), ("med", "c", "a", "MEDIAN(v) FROM T WHERE k = 'x'", True)],
+                               "metric_name string, metric_category string, tpa string, calculation_logic string, is_active boolean")
+    got = {r.metric_name: r.metric_value for r in gr.evaluate_metrics(spark, ms, {"T": t}).collect()}
+    assert got == {"all": 14.0, "of_b": 10.0, "cond": 3.0, "bad": None, "other": None, "med": 1.0}
+
+
+def test_gold_mappings_with_two_group_lists_are_refused(spark):
+    from claimlake.operators import gold_rules as gr
+    src = spark.createDataFrame([("a", 1)], "k string, v int")
+    m = spark.createDataFrame([("T", "x", "v", None, "SUM", "k", None, True, 1), ("T", "y", "v", None, "SUM", "k, v", None, True, 2)],
+                              "target_table string, target_field string, source_field string, transformation_logic string, aggregation_function string, "
+                              "group_by_fields string, filter_condition string, is_active boolean, priority int")
+    with pytest.raises(ValueError):
+        gr.run_gold_mappings(src, m, "T")
+
+
+def test_quality_rule_of_a_tenant_sees_its_rows(spark):
+    from claimlake.operators import gold_rules as gr
+    t = spark.createDataFrame([("a", -1.0), ("b", 2.0)], "tpa string, total_paid double")
+    rules = spark.createDataFrame([("R", "T", "b", "total_paid >= 0", 1.0, ">=", "ERROR", True), ("S", "T", "ALL", "total_paid >= 0", 1.0, ">=", "ERROR", True)],
+                                  "rule_name string, table_name string, tpa string, check_logic string, threshold_value double, threshold_operator string, severity string, is_active boolean")
+    got = {r.rule_name: (r.records_checked, r.status) for r in gr.run_quality_rules({"T": t}, rules, "run", "2024-01-01 00:00:00").collect()}
+    assert got == {"R": (1, "PASSED"), "S": (2, "FAILED")}
+
+
+def test_reprocessed_records_come_back_once(spark):
+    from claimlake.operators import rules
+    q = spark.createDataFrame([("b1", "r1", 7, '{"_record_id":7,"tpa":"a","v":5}', False), ("b1", "r2", 7, '{"_record_id":7,"tpa":"a","v":5}', False)],
+                              "batch_id string, rule_id string, _record_id long, record_data string, reprocessed boolean")
+    rl = spark.createDataFrame([], "rule_id string, rule_name string, rule_type string, tpa string, target_table string, rule_logic string, "
+                                   "error_action string, priority int, active boolean")
+    out, marked = rules.reprocess_quarantine(q, "_record_id long, tpa string, v int", rl, "2024-01-01 00:00:00")
+    assert out.count() == 1 and marked.filter("reprocessed").count() == 2
