@@ -32,8 +32,9 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in the target proportions: a document stands as often as the mix takes it."""
-    mixed = mixing.mix(docs.withColumn("__size", mixing.word_count()), size="__size")
-    return mixing.emit(mixed).select(*docs.columns)
+    # the whole row travels as one column, so that no extra column can clash with the mix's own
+    rows = docs.select("doc_id", "source", mixing.word_count().alias("size"), F.struct(*docs.columns).alias("__row"))
+    return mixing.emit(mixing.mix(rows)).select("__row.*")
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
