@@ -115,7 +115,10 @@ def delete_files(raw: DataFrame, queue: DataFrame, files: DataFrame) -> tuple[Da
     """BRZ-11 (bulk form): drop raw rows of (tpa, file) and mark the queue rows DELETED
     with the number of raw rows removed.  ``files`` has (tpa, file_name); file
     names are matched on the full name or on their basename."""
-    f = files.select("tpa", "file_name").distinct()
+    wanted = files.select("tpa", F.col("file_name").alias("_k")).distinct()
+    names = raw.select("tpa", "file_name").union(queue.select("tpa", "file_name")).distinct()
+    either = names.select("tpa", "file_name", F.explode(F.array_distinct(F.array("file_name", basename("file_name")))).alias("_k"))
+    f = either.join(wanted, ["tpa", "_k"], "left_semi").select("tpa", "file_name").distinct()
     counts = (raw.join(f, ["tpa", "file_name"], "left_semi")
                  .groupBy("tpa", "file_name").agg(F.count(F.lit(1)).alias("deleted_rows")))
     remaining = raw.join(f, ["tpa", "file_name"], "left_anti")
@@ -128,10 +131,6 @@ def delete_files(raw: DataFrame, queue: DataFrame, files: DataFrame) -> tuple[Da
     return remaining, q.select(*out)
 
 
-def file_key(c):
-    return basename(c)
-
-
 def reset_stuck(queue: DataFrame, as_of, minutes: int = 5) -> DataFrame:
     """BRZ-12: PROCESSING with no processed time or older than 5 min -> PENDING."""
     now = as_ts(as_of)

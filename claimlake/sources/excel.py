@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlake.sources.landing import below, unique_names
+
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
        "r": "http://schemas.openxmlformats.org/officeDocument/2006/relationships",
        "rel": "http://schemas.openxmlformats.org/package/2006/relationships"}
@@ -88,10 +90,11 @@ def parse_workbook(path: str, content: bytes):
                 continue
             rows.sort()
             head = rows[0][1]
-            width = max(head) + 1 if head else 0
-            names = [(head.get(i) or f"_c{i}").strip() for i in range(width)]
+            # cells beyond the header and repeated header names keep keys of their own
+            width = max((max(v) + 1 for _, v in rows if v), default=0)
+            names = unique_names([head.get(i) or "" for i in range(width)])
             for n, (_rn, vals) in enumerate(rows[1:], start=1):
-                obj = {names[i]: ("" if vals.get(i) is None else vals.get(i)) for i in range(width)}
+                obj = {names[i]: vals.get(i) or None for i in range(width)}
                 yield path, name, n, json.dumps(obj, ensure_ascii=False, separators=(",", ":"))
 
 
@@ -107,9 +110,9 @@ def read_landing_excel(spark: SparkSession, root: str) -> DataFrame:
     """Rows of every workbook sheet; key = (tpa, file, sheet, row number)."""
     root = root.rstrip("/")
     b = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-              .filter(F.lower("path").endswith(".xlsx")).select("path", "content"))
+              .filter(F.lower("path").endswith(".xlsx")).select(F.col("_metadata.file_path").alias("path"), "content"))
     rows = b.mapInPandas(_parse_batches, OUT_SCHEMA)
-    rel = F.regexp_replace(F.col("path"), r"^(file:)?/*" + re.escape(root.lstrip("/")) + "/", "")
+    rel = below(spark, F.col("path"), root)
     tpa = F.when(F.instr(rel, "/") > 0, F.split_part(rel, F.lit("/"), F.lit(1)))
     return rows.select(tpa.alias("tpa"), rel.alias("file_name"), "sheet_name", "file_row_number",
                        F.lit("EXCEL").alias("file_type"), "raw_data")

@@ -23,7 +23,7 @@ def _decoded(uri):
     return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
 
-def _below(spark: SparkSession, uri, root: str):
+def below(spark: SparkSession, uri, root: str):
     """Name of a file relative to ``root``: decoded, without scheme and host, for any file system.
 
     ``uri`` is a ``_metadata.file_path`` (percent-encoded).
@@ -42,7 +42,7 @@ def list_landing(spark: SparkSession, root: str) -> DataFrame:
     root = root.rstrip("/")
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
                .select("path", F.col("_metadata.file_path").alias("uri"), "length", "modificationTime"))
-    return df.select("path", _below(spark, F.col("uri"), root).alias("file_name"), F.col("length").alias("size"),
+    return df.select("path", below(spark, F.col("uri"), root).alias("file_name"), F.col("length").alias("size"),
                      F.col("modificationTime").cast("timestamp_ntz").alias("modification_time"))
 
 
@@ -67,7 +67,11 @@ def file_headers(spark: SparkSession, root: str, pattern: str = "(?i).*\\.csv(\\
 
 def _split_header(header: str) -> list[str]:
     import csv
-    row = next(csv.reader([header]), [])
+    return unique_names(next(csv.reader([header]), []))
+
+
+def unique_names(row: list[str]) -> list[str]:
+    """Header cells as keys: trimmed, an empty one by its position, a repeated one with a number."""
     names, seen = [], {}
     for i, n in enumerate(row):
         n = n.strip() or f"_c{i}"
@@ -121,7 +125,7 @@ def read_landing_csv(spark: SparkSession, root: str, multi_line: bool = True, mo
     earlier = Window.partitionBy("path").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     rows = rows.join(splits.select("path", "_at", "_first", "_before"), ["path", "_at"])
-    rel = _below(spark, F.col("path"), root)
+    rel = below(spark, F.col("path"), root)
     tpa = F.when(F.instr(rel, "/") > 0, F.split_part(rel, F.lit("/"), F.lit(1)))
     if partition_dirs:
         tpa = F.regexp_replace(tpa, "^[^=/]+=", "")

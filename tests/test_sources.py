@@ -87,7 +87,7 @@ def test_excel_workbook_all_sheets(spark, tmp_path):
                   key=lambda r: (r.sheet_name, r.file_row_number))
     assert [(r.sheet_name, r.file_row_number) for r in rows] == [("Claims", 1), ("Claims", 2), ("More", 1)]
     assert json.loads(rows[0].raw_data) == {"CLAIM_ID": "X-1", "AMOUNT": "12.5"}
-    assert json.loads(rows[1].raw_data)["AMOUNT"] == ""
+    assert json.loads(rows[1].raw_data)["AMOUNT"] is None
     assert rows[0].tpa == "provider_d" and rows[0].file_type == "EXCEL"
 
 
@@ -111,3 +111,12 @@ def test_landing_names_wide_header_and_split_files(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(x.file_row_number for x in rows) == list(range(1, 30001))
     assert all(json.loads(x.raw_data)["A"] == str(x.file_row_number) for x in rows)
+
+
+def test_excel_keeps_every_cell(spark, tmp_path):
+    from claimlake.sources import excel
+    (tmp_path / "t 1").mkdir()
+    excel.write_test_workbook(str(tmp_path / "t 1" / "b.xlsx"), {"S": [["A", "A", ""], [1, 2, 3, 4], ["", "x"]]})
+    rows = sorted(excel.read_landing_excel(spark, str(tmp_path)).collect(), key=lambda r: r.file_row_number)
+    assert [json.loads(r.raw_data) for r in rows] == [{"A": "1", "A_1": "2", "_c2": "3", "_c3": "4"}, {"A": None, "A_1": "x", "_c2": None, "_c3": None}]
+    assert rows[0].tpa == "t 1" and rows[0].file_name == "t 1/b.xlsx"
