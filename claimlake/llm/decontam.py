@@ -26,6 +26,7 @@ EDITS = 0.1                  # edits allowed per character of an item
 MIN_CHARS = 40               # shorter items say too little; they are not searched for
 BLOCK_CHARS = 8_000_000      # characters of items that are sent to the tasks at once
 _SLOTS = 21
+_OUTSIDE = np.uint32(0xFFFFFFFF)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -132,35 +133,39 @@ class Items:
         bands = bands[count >= self.need[bands // span]]
         for i, b in zip((bands // span).tolist(), (bands % span - shift).tolist()):
             k, m = int(self.edits[i]), int(self.size[i])
-            first = max(0, b * (2 * k + 1) - k)
-            region = a[first:(b + 2) * (2 * k + 1) + m + k].astype(np.uint32)
+            # an alignment through a diagonal of the band strays k from it at most
+            start, width = b * (2 * k + 1) - k, 2 * (2 * k + 1) + 2 * k
+            region = np.full(m + width, _OUTSIDE, np.uint32)
+            inside = a[max(0, start):max(0, start + m + width)]
+            region[max(0, -start):max(0, -start) + len(inside)] = inside
             best = align(self.codes[i], region, k)
             if best is not None and (i not in out or best[0] < out[i][0]):
-                out[i] = (best[0], first + best[1])
+                out[i] = (best[0], start + best[1])
         return {self.ids[i]: v for i, v in out.items()}
 
 
 def align(item: np.ndarray, region: np.ndarray, k: int) -> tuple[int, int] | None:
     """(edits, end) of the passage of the region nearest to the item, if within k edits.
 
-    Item rows against all places of the region, which the band has made short:
-    a start is free anywhere, an insertion run is a running minimum.
+    Only the band of diagonals 0 .. len(region) - len(item) is filled, a row of
+    them per character of the item; the start is free on every diagonal, an
+    insertion run is a running minimum.  What lies outside the text matches
+    nothing, which costs what leaving out the item's character costs.
     """
     whole = _find(item, region)
     if whole >= 0:
         return 0, whole + len(item)
-    n = len(region)
-    ramp = np.arange(n + 1)
-    row = np.zeros(n + 1, int)
-    for c, ch in enumerate(item.tolist(), 1):
-        new = np.empty(n + 1, int)
-        new[0] = c
-        new[1:] = np.minimum(row[:-1] + (region != ch), row[1:] + 1)
+    width = len(region) - len(item)
+    ramp = np.arange(width + 1)
+    row = np.zeros(width + 1, int)
+    far = np.array([len(item) + 1])
+    for i, ch in enumerate(item.tolist()):
+        new = np.minimum(row + (region[i:i + width + 1] != ch), np.concatenate([row[1:], far]) + 1)
         row = np.minimum.accumulate(new - ramp) + ramp
         if row.min() > k:
             return None
-    end = int(row.argmin())
-    return (int(row[end]), end) if row[end] <= k else None
+    d = int(row.argmin())
+    return int(row[d]), len(item) + d
 
 
 def _find(item: np.ndarray, region: np.ndarray) -> int:
