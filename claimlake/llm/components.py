@@ -9,31 +9,32 @@ repeats one round at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from claimlake.llm import common
 
 
-def _mark(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(r)
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a stored table, with their number and the sum of their digests, taken as they are written."""
+    seen = Observation()
+    marks = F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")
+    edges = common.stored(edges.observe(seen, *marks), "links")
+    return edges, (seen.get["n"], seen.get["h"])
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): every node of the links with the smallest node it reaches. Loops and repeated links do
     no harm; nodes must not be null; no links give an empty table."""
-    edges = common.stored(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct(), "links")
-    mark = _mark(edges)
+    edges, mark = _written(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct())
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .union(down.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
-        edges = common.stored(small, "links")
-        now = _mark(edges)
+        edges, now = _written(small)
         if now == mark:
             break
         mark = now
