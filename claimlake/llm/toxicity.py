@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from claimlake.llm import labelled
+from claimlake.llm import common, labelled
 
 MAX_ROWS = 10_000   # labelled rows that are fitted on, at most
 BITS = 22           # hashed words and word beginnings
@@ -51,13 +52,29 @@ def features(text: str) -> Counter:
     return out
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of either label that hold a feature, summed up within a batch."""
     for b in batches:
-        rows = [features(t) for t in b.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([
-            b.column("doc_id"), b.column("label"),
-            pa.array([np.fromiter(c.keys(), "<u4", len(c)).tobytes() for c in rows], pa.binary()),
-            pa.array([np.fromiter(c.values(), "<u4", len(c)).tobytes() for c in rows], pa.binary())], ["doc_id", "label", "ids", "counts"])
+        df: tuple[Counter, Counter] = (Counter(), Counter())
+        for label, t in zip(b.column("label").to_pylist(), b.column("text").to_pylist()):
+            df[int(label > 0)].update(features(t).keys())
+        ids = list(df[0].keys() | df[1].keys())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array([d[i] for i in ids], pa.int64()) for d in df)], ["feature", "df0", "df1"])
+
+
+def _restricted(chosen: list[int]):
+    """Counts of the chosen features of each text, and of all its features."""
+    at = {f: i for i, f in enumerate(chosen)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [features(t) for t in b.column("text").to_pylist()]
+            held = [sorted((at[f], n) for f, n in c.items() if f in at) for c in rows]
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), b.column("label"), pa.array([[i for i, _ in h] for h in held], pa.list_(pa.int32())),
+                pa.array([[n for _, n in h] for h in held], pa.list_(pa.int32())), pa.array([sum(c.values()) for c in rows], pa.int64())],
+                ["doc_id", "label", "ids", "counts", "total"])
+    return run
 
 
 def cumulative(w: np.ndarray, theta: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -89,36 +106,37 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, grades: int = GRADES, ridge: float
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = MAX_ROWS) -> dict:
-    """The model from at most ``rows`` labelled rows. Without both labels among them it finds nothing toxic."""
-    got = labelled.sample(docs, labels, "toxic", rows).mapInArrow(_featured, "doc_id bigint, label int, ids binary, counts binary").collect()
-    got.sort(key=lambda r: r["doc_id"])
-    y = np.array([r["label"] for r in got], dtype=int)
+    """The model from at most ``rows`` labelled rows. Without both labels among them it finds nothing toxic.
+
+    The features that tell the labels apart best are chosen by counts over the
+    sample; the driver gets those, and their counts in each sampled row.
+    """
     none = {"features": np.zeros(0, np.int64), "w": np.zeros(0), "theta": np.array([5.0, 6.0])}
-    if not len(y) or y.min() == y.max():
+    drawn = common.stored(labelled.sample(docs, labels, "toxic", rows), "toxic-sample")
+    n = {int(r["toxic"]): r["count"] for r in drawn.groupBy((F.col("label") > 0).alias("toxic")).count().collect()}
+    if len(n) < 2:
         return none
-    ids, counts = [np.frombuffer(r["ids"], "<u4") for r in got], [np.frombuffer(r["counts"], "<u4") for r in got]
-    df = np.zeros((2, 1 << BITS))
-    for i, label in zip(ids, y):
-        df[label][i] += 1
-    n = np.array([(y == 0).sum(), (y == 1).sum()])
-    seen = df.sum(0)
-    rate = (df[1] + 0.5) / (n[1] + 1), (df[0] + 0.5) / (n[0] + 1)
-    z = np.log(rate[0] / rate[1]) / np.sqrt(1 / (df[1] + 0.5) + 1 / (df[0] + 0.5))
-    usable = np.flatnonzero(seen >= 5)
-    chosen = np.sort(usable[np.argsort(-np.abs(z[usable]), kind="stable")[:MAX_FEATURES]])
-    if not len(chosen):
+    df = drawn.mapInArrow(_frequencies, "feature bigint, df0 bigint, df1 bigint").groupBy("feature").agg(F.sum("df0").alias("df0"), F.sum("df1").alias("df1"))
+    ratio = ((F.col("df1") + 0.5) / (n[1] + 1)) / ((F.col("df0") + 0.5) / (n[0] + 1))
+    z = F.log(ratio) / F.sqrt(1 / (F.col("df1") + 0.5) + 1 / (F.col("df0") + 0.5))
+    best = (df.filter(F.col("df0") + F.col("df1") >= 5).select("feature", ratio.alias("ratio"), z.alias("z"))
+            .orderBy(F.abs("z").desc(), "feature").limit(MAX_FEATURES).collect())
+    if not best:
         return none
-    markers = np.isin(chosen, usable[(z[usable] > 4) & (rate[0] > 3 * rate[1])[usable]])
-    at = np.full(1 << BITS, -1)
-    at[chosen] = np.arange(len(chosen))
+    best.sort(key=lambda r: r["feature"])
+    chosen = [r["feature"] for r in best]
+    marker = np.array([r["z"] > 4 and r["ratio"] > 3 for r in best])
+    got = drawn.mapInArrow(_restricted(chosen), "doc_id bigint, label int, ids array<int>, counts array<int>, total bigint").collect()
+    got.sort(key=lambda r: r["doc_id"])  # the order of arrival must not matter
+    y = np.array([int(r["label"] > 0) for r in got])
     x, density = np.zeros((len(y), len(chosen))), np.zeros(len(y))
-    for r, (i, c) in enumerate(zip(ids, counts)):
-        k = at[i]
-        x[r, k[k >= 0]] = np.log1p(c[k >= 0])
-        density[r] = c[(k >= 0) & markers[np.maximum(k, 0)]].sum() / max(int(c.sum()), 1)
+    for i, r in enumerate(got):
+        ids, counts = np.array(r["ids"], dtype=int), np.array(r["counts"], dtype=float)
+        x[i, ids] = np.log1p(counts)
+        density[i] = counts[marker[ids]].sum() / max(r["total"], 1)
     middle = np.median(density[y == 1])
     w, theta = fit_ordinal(x, np.where(y == 0, 0, np.where(density > middle, 2, 1)))
-    return {"features": chosen, "w": w, "theta": theta}
+    return {"features": np.array(chosen, dtype=np.int64), "w": w, "theta": theta}
 
 
 def _scorer(model: dict):
