@@ -54,7 +54,7 @@ STAGES = [
     ("token-ID / binary output", token_records),
 ]
 
-# A learned score and an edit distance are not for SQL: tests/llm/test_pipeline.py has a brute-force version.
+# A learned score and an edit distance are not for SQL: tests/llm/test_pipeline_llm.py has a brute-force version.
 ORACLE_SQL = None
 
 
