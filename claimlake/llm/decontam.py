@@ -7,6 +7,9 @@ So per text the shared q-grams are counted in bands of diagonals, each twice as
 wide as needed and overlapping by half, regions that reach the bound are kept,
 and a banded alignment of item and region decides.
 
+Items of fewer than q characters have no q-gram: they are looked up as they are,
+at the words' borders.
+
 Items are dealt to the tasks in blocks of bounded size; each block meets every
 text once.
 """
@@ -23,8 +26,9 @@ from pyspark.sql import functions as F
 
 Q = 8
 EDITS = 0.1                  # edits allowed per character of an item
-MIN_CHARS = 40               # shorter items say too little; they are not searched for
+MIN_CHARS = 1                # every item that has a word is searched for
 BLOCK_CHARS = 8_000_000      # characters of items that are sent to the tasks at once
+ITEM_CHARS = 40              # an item counts as so many characters at least there
 _SLOTS = 21
 _OUTSIDE = np.uint32(0xFFFFFFFF)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -59,20 +63,42 @@ def grams(a: np.ndarray) -> np.ndarray:
     return np.ndarray((len(a) - Q + 1,), "<u8", np.ascontiguousarray(low), strides=(1,))
 
 
+def _unspaced(a: np.ndarray) -> np.ndarray:
+    """Characters of scripts that put no blanks between words (Thai to Myanmar, Khmer, kana, Han): each borders on words."""
+    return ((a >= 0x0E00) & (a <= 0x0EFF) | (a >= 0x1000) & (a <= 0x109F) | (a >= 0x1780) & (a <= 0x17FF) | (a >= 0x2E80) & (a <= 0x312F)
+            | (a >= 0x31A0) & (a <= 0xA4CF) & ~((a >= 0x3200) & (a <= 0x33FF)) | (a >= 0xF900) & (a <= 0xFAFF) | (a >= 0xFF00) & (a <= 0xFF0F)
+            | (a >= 0xFF1A) & (a <= 0xFF20) | (a >= 0xFF66) & (a <= 0xFF9F) | (a >= 0x20000) & (a <= 0x3FFFF))
+
+
+def borders(a: np.ndarray) -> np.ndarray:
+    """For each place from 0 to len(a): whether a word can begin or end there."""
+    free = (a == 32) | _unspaced(a) if a.dtype != np.uint8 else a == 32
+    return np.concatenate([[True], free[1:] | free[:-1], [True]]) if len(a) else np.ones(1, bool)
+
+
 def _slot(g: np.ndarray) -> np.ndarray:
     return (g * _MULT) >> np.uint64(64 - _SLOTS)
 
 
+def _keys(a: np.ndarray, m: int) -> np.ndarray:
+    """The m characters (fewer than q) from each place as one number, one byte a character as in grams()."""
+    return grams(np.concatenate([a, np.zeros(Q - 1, a.dtype)])) & np.uint64((1 << 8 * m) - 1)
+
+
 class Items:
     """A block of items, indexed by q-gram."""
 
     def __init__(self, items: list[tuple], edits: float = EDITS):
         self.ids, self.codes, self.k = [], [], []
         grams_, owner, place = [], [], []
+        short: dict[int, dict[bytes, list]] = {}  # by length, by text: the ids
         for item, text in items:
             a = normal(text or "").astype(np.uint32)
             if len(a) < MIN_CHARS:
                 continue
+            if len(a) < Q:
+                short.setdefault(len(a), {}).setdefault(a.tobytes(), []).append(item)
+                continue
             n = len(self.codes)
             self.ids.append(item)
             self.codes.append(a)
@@ -92,12 +118,43 @@ class Items:
         self.size = np.array([len(c) for c in self.codes], dtype=int)
         self.edits = np.array(self.k, dtype=int)
         self.need = self.size - Q + 1 - self.edits * Q
+        self.short = []  # of each length: it, sorted keys, texts and ids in that order
+        for m, ids in short.items():
+            codes = np.frombuffer(b"".join(ids), np.uint32).reshape(-1, m)
+            keys = _keys(codes.reshape(-1), m)[::m]
+            order = np.argsort(keys, kind="stable")
+            ids = list(ids.values())
+            self.short.append((m, keys[order], codes[order], [ids[i] for i in order]))
 
     def search(self, text: str | None) -> dict[int, tuple[int, int]]:
         """item -> (edits, place) of the best passage of the text within the item's budget."""
-        if not text or not len(self.grams):
+        if not text:
             return {}
         a = normal(text)
+        out = self._near(a) if len(self.grams) else {}
+        return out | self._exact(a) if self.short else out
+
+    def _exact(self, a: np.ndarray) -> dict[int, tuple[int, int]]:
+        """The items without q-grams that stand in the text between borders."""
+        out: dict[int, tuple[int, int]] = {}
+        border = borders(a)
+        for m, keys, codes, ids in self.short:
+            if len(a) < m:
+                continue
+            at = np.flatnonzero(border[:len(a) - m + 1] & border[m:])
+            key = _keys(a, m)[at]
+            lo, hi = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            # texts that fall on the same key one by one
+            while (more := lo < hi).any():
+                at, lo, hi = at[more], lo[more], hi[more]
+                same = (a[at[:, None] + np.arange(m)] == codes[lo]).all(1)
+                first, where = np.unique(lo[same], return_index=True)
+                for i, p in zip(first.tolist(), at[same][where].tolist()):
+                    out |= {item: (0, p + m) for item in ids[i]}
+                lo = lo + 1
+        return out
+
+    def _near(self, a: np.ndarray) -> dict[int, tuple[int, int]]:
         g = grams(a)
         at = np.flatnonzero(self.slots[_slot(g)])
         if not len(at):
@@ -180,11 +237,12 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
     """Items in blocks of at most BLOCK_CHARS (one longer item is a block of its own)."""
     block, size = [], 0
     for r in benchmark.select("item_id", "text").filter(F.length("text") >= MIN_CHARS).orderBy("item_id", "text").toLocalIterator():
-        if block and size + len(r["text"]) > BLOCK_CHARS:
+        n = max(len(r["text"]), ITEM_CHARS)
+        if block and size + n > BLOCK_CHARS:
             yield block
             block, size = [], 0
         block.append((r["item_id"], r["text"]))
-        size += len(r["text"])
+        size += n
     if block:
         yield block
 
@@ -204,10 +262,11 @@ def _search(items_of, schema_names: list[str], text: str, out: str):
 def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", out: str = "leaks") -> DataFrame:
     """All rows and columns with ``leaks``: array of (item_id, edits) of the items within their edit budget.
 
-    Null and empty texts, null and short items (under MIN_CHARS characters as
-    they stand or when normalised) give nothing; an item id with several texts
-    is one entry per text block; repeated rows get equal results; a column
-    named as ``out`` is replaced.
+    Null and empty texts, null items and items without a word give nothing;
+    items under Q characters when normalised count where they stand unchanged
+    between borders of words (in scripts without blanks, anywhere); an item id
+    with several texts is one entry per text block; repeated rows get equal
+    results; a column named as ``out`` is replaced.
     """
     keep = [f for f in docs.schema if f.name != out]
     names = [f.name for f in keep]

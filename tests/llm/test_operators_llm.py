@@ -102,6 +102,18 @@ def test_decontamination_in_several_blocks(spark, monkeypatch):
     assert got == {1: [0, 4], 2: [], 3: [2]}
 
 
+def test_decontamination_of_short_items(spark):
+    items = [(1, "Who wrote Faust?"), (2, "今日の東京の天気はどうですか"), (3, "2 + 2"), (4, "天気"), (5, "cat"), (6, "?!"), (7, "Cat."), (8, "What is the capital of France?"), (None, "x"), (9, "天a")]
+    rows = [(1, "so: who wrote  FAUST, and when"), (2, "質問:今日の東京の天気はどうですか、と"), (3, "is 2+2 four"), (4, "a cat, a concatenation"), (5, "concatenation 12 2 2a"), (6, None), (7, "x"), (8, "?!"),
+            (9, "what is the capitol of France"), (10, "it is cat"), (11, "天ab"), (12, "Ｘ天a b")]
+    want = {1: [1], 2: [2, 4], 3: [3], 4: [5, 7], 5: [], 6: [], 7: [None], 8: [], 9: [8], 10: [5, 7], 11: [], 12: [9]}
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: {x.item_id: x.edits for x in r.leaks} for r in decontam.find_items(docs, bench).collect()}
+    assert {k: sorted(v, key=lambda i: i or 0) for k, v in got.items()} == want and got[9] == {8: 1}
+    assert sorted(r.doc_id for r in decontam.decontaminate(docs, bench).collect()) == [k for k, v in want.items() if not v]
+
+
 def test_decontamination_whole_table(spark, sf_dir):
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     whole = {r.doc_id: {i for i, t in bench if t in r.text} for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
