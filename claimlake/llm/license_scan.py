@@ -1,7 +1,8 @@
 """License scans: phrases, and an exact set-similarity join with license templates.
 
-A block is a line of a document, a template a license sentence; both are sets
-of words.  All blocks are found whose share of a template's words reaches the
+A block is a line of a document, or a window of as many words as the template
+has, wherever lines end; a template is a license sentence.  All are sets of
+words.  All blocks are found whose share of a template's words reaches the
 threshold.  Words are put in one global order, rarest first by the number of
 documents that hold them.  A block that holds at least o of a template's m
 words shares a word with the first m - o + 1 of them (prefix filter), which
@@ -9,6 +10,8 @@ is also among the first |b| - o + 1 template words of the block; it has at
 least o words of the template vocabulary (length filter), and what can still
 follow the shared word in both reaches o (positional filter).  Words outside
 all templates can never be shared; they are left out before anything moves.
+A window that reaches o holds a prefix word too, so windows are laid only over
+the neighbourhoods of prefix words that have o words of the template.
 """
 
 from __future__ import annotations
@@ -70,30 +73,33 @@ def template_order(docs: DataFrame, vocabulary: list[str], norm: str = "__norm")
     return {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (count.get(w, 0), w)))}
 
 
-def similar_blocks(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD,
-                   block: str = BLOCK, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, block, label, containment) of every block that reaches the threshold for a template.
-
-    ``block`` counts the pieces between matches of the pattern from 0.  Null
-    and empty texts have no block; a block holds a word once however often it
-    repeats; a template without words is refused.
-    """
-    sets = [(label, sorted(set(t.split()))) for label, texts in templates.items() for t in texts]
-    vocabulary = sorted({w for _, ws in sets for w in ws})
-    if not sets or any(not ws for _, ws in sets) or len(vocabulary) > MAX_TEMPLATE_WORDS:
+def _prefixes(docs: DataFrame, templates: dict[str, list[str]], threshold: float, text: str) -> tuple[DataFrame, list[str], list[tuple]]:
+    """One row per (template, prefix word); the vocabulary in the global order; the same rows."""
+    sets = [(label, sorted(set(t.split())), len(t.split())) for label, texts in templates.items() for t in texts]
+    vocabulary = sorted({w for _, ws, _ in sets for w in ws})
+    if not sets or any(not ws for _, ws, _ in sets) or len(vocabulary) > MAX_TEMPLATE_WORDS:
         raise ValueError("templates need words, and at most MAX_TEMPLATE_WORDS of them")
     place = template_order(docs.select(normal(F.col(text)).alias("__norm")), vocabulary)
-    rows, first = [], set()
-    for i, (label, ws) in enumerate(sets):
+    rows = []
+    for i, (label, ws, span) in enumerate(sets):
         ordered, o = sorted(ws, key=place.get), math.ceil(threshold * len(ws) - 1e-9)
         for j, w in enumerate(ordered[:len(ws) - o + 1]):
-            first.add(w)
-            rows.append((i, label, w, j, len(ws), o, ordered))
-    prefixes = docs.sparkSession.createDataFrame(rows, "t int, label string, w string, j int, m int, o int, words array<string>")
+            rows.append((i, label, w, j, len(ws), o, span, ordered))
+    prefixes = docs.sparkSession.createDataFrame(rows, "t int, label string, w string, j int, m int, o int, span int, words array<string>")
+    return prefixes, sorted(vocabulary, key=place.get), rows
+
+
+def _with_prefix_word(docs: DataFrame, rows: list[tuple], text: str, key: str) -> DataFrame:
+    first = sorted({r[2] for r in rows})
+    return (docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
+            .filter(F.arrays_overlap(F.split(normal(F.col("__text")), " "), F.array(*map(F.lit, first)))))
+
+
+def _lines(docs: DataFrame, found: tuple, block: str, text: str, key: str) -> DataFrame:
+    prefixes, order, rows = found
     least = min(r[5] for r in rows)
-    by_place = F.array(*[F.lit(w) for w in sorted(vocabulary, key=place.get)])
-    held = (docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-            .filter(F.arrays_overlap(F.split(normal(F.col("__text")), " "), F.array(*map(F.lit, sorted(first)))))
+    by_place = F.array(*map(F.lit, order))
+    held = (_with_prefix_word(docs, rows, text, key)
             .select("__key", F.posexplode(F.split("__text", block)).alias("block", "__line"))
             # template words of the block in the global order
             .select("__key", "block", F.array_intersect(by_place, F.split(normal(F.col("__line")), " ")).alias("__set"))
@@ -106,18 +112,57 @@ def similar_blocks(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES,
     return got.select(F.col("__key").alias(key), "block", "label", (F.col("__n") / F.col("m")).alias("containment"))
 
 
+def _windows(docs: DataFrame, found: tuple, text: str, key: str) -> DataFrame:
+    prefixes, _, rows = found
+    first = F.array(*map(F.lit, sorted({r[2] for r in rows})))
+    reach = max(r[6] for r in rows) - 1
+    # around each prefix word of a text, the words that can share a window with it; "" beyond the text's ends
+    edge = F.array_repeat(F.lit(""), reach)
+    padded = _with_prefix_word(docs, rows, text, key).select("__key", F.concat(edge, _words(normal(F.col("__text"))), edge).alias("__words"))
+    near = F.transform(F.filter(F.transform("__words", lambda w, i: F.when(F.array_contains(first, w), i)), lambda i: i.isNotNull()),
+                       lambda i: F.struct((i - reach).alias("place"), F.slice("__words", i - reach + 1, 2 * reach + 1).alias("around")))
+    hits = (padded.select("__key", F.explode(near).alias("__near")).select("__key", "__near.place", "__near.around")
+            .withColumn("w", F.element_at("around", reach + 1)).join(F.broadcast(prefixes), "w")
+            .withColumn("around", F.slice("around", reach + 2 - F.col("span"), 2 * F.col("span") - 1))
+            .filter(F.size(F.array_intersect("around", "words")) >= F.col("o")))
+    most = F.array_max(F.transform(F.sequence(F.lit(1), F.col("span")),
+                                   lambda s: F.size(F.array_intersect(F.slice("around", s, F.col("span")), F.col("words")))))
+    got = hits.withColumn("__n", most).filter(F.col("__n") >= F.col("o"))
+    return got.select(F.col("__key").alias(key), "place", "label", (F.col("__n") / F.col("m")).alias("containment"))
+
+
+def similar_blocks(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD,
+                   block: str = BLOCK, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, block, label, containment) of every line that reaches the threshold for a template.
+
+    ``block`` counts the pieces between matches of the pattern from 0.  Null
+    and empty texts have no block; a block holds a word once however often it
+    repeats; a template without words is refused.
+    """
+    return _lines(docs, _prefixes(docs, templates, threshold, text), block, text, key)
+
+
+def similar_windows(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD,
+                    text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, place, label, containment): of each prefix word (``place`` in the text's words, from 0) the best window
+    with it, of as many words as the template has and across line breaks, where it reaches the threshold."""
+    return _windows(docs, _prefixes(docs, templates, threshold, text), text, key)
+
+
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates: dict[str, list[str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, ...): words, phrase places and labels.
 
     Null and empty texts: no words, no labels, score 0.  Rows that repeat a
     doc_id are told apart by their text; equal rows get equal results.  Columns
     beside doc_id and text are not used.
-    ``score``: 1 where a phrase stands, else the best containment found, else 0.
+    ``score``: 1 where a phrase stands, else the best containment found in a line or a window, else 0.
     """
     pattern = " (?:" + "|".join(phrases) + ")(?= )"
     base = (docs.select("doc_id", "text").withColumn("__id", F.struct("doc_id", F.xxhash64("text")).cast("struct<a:bigint,b:bigint>"))
             .withColumn("__id", F.concat_ws("/", F.col("__id.a").cast("string"), F.col("__id.b").cast("string"), F.col("doc_id").isNull().cast("string"))))
-    found = (similar_blocks(base, templates, threshold, key="__id").groupBy("__id")
+    prefixes = _prefixes(base, templates, threshold, "text")
+    similar = _lines(base, prefixes, BLOCK, "text", "__id").drop("block").unionByName(_windows(base, prefixes, "text", "__id").drop("place"))
+    found = (similar.groupBy("__id")
              .agg(F.collect_set("label").alias("__labels"), F.max("containment").alias("__best")).withColumnRenamed("__id", "__found"))
     n_words = lambda c: F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit("")))
     rows = base.select("doc_id", "__id", normal(F.col("text")).alias("__norm"))

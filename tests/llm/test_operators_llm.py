@@ -345,6 +345,39 @@ def test_license_scan(spark, docs):
     assert license_scan.scan(docs).count() == len(cases.edge_rows()) and license_scan.scan(cases.empty_docs(spark)).count() == 0
 
 
+def test_license_scan_of_wrapped_notices(spark):
+    def wrapped(t, n, lead=""):
+        w = t.split()
+        return "\n".join(lead + " ".join(w[i:i + n]) for i in range(0, len(w), n))
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i, (label, t) in enumerate((x, t) for x, texts in license_scan.TEMPLATES.items() for t in texts):
+        for j, text in enumerate((wrapped(t, 4), cases.words(rng, 50) + "\n" + wrapped(t, 7, " * ") + "\n" + cases.words(rng, 50), wrapped(t, 1, "// "))):
+            rows.append((10 * i + j, text))
+            want[10 * i + j] = label
+    words = sorted({w for texts in license_scan.TEMPLATES.values() for t in texts for w in t.split()})
+    # template words in random order are no notice, nor is one whose words lie too far apart
+    rows += [(1000 + i, "\n".join(rng.choice(words) for _ in range(40))) for i in range(40)]
+    rows.append((2000, "\n".join(w + " " + cases.words(rng, 3) for w in license_scan.TEMPLATES["bsd"][0].split())))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in license_scan.scan(df).collect()}
+    for i, label in want.items():
+        assert label in got[i].labels.split(",") and got[i].score == 1
+    for i, text in rows:
+        w, best = "".join(c if c.isalnum() else " " for c in text.lower()).split(), {}
+        for label, texts in license_scan.TEMPLATES.items():
+            for t in texts:
+                s, n = set(t.split()), len(t.split())
+                blocks = [w[p:p + n] for p in range(len(w))] + [line.lower().split() for line in text.split("\n")]
+                m = max(len(s & set(b)) for b in blocks)
+                if m >= license_scan.THRESHOLD * len(s) - 1e-9:
+                    best[label] = max(best.get(label, 0), m / len(s))
+        base = set(filter(None, got[i].base_labels.split(",")))
+        assert set(filter(None, got[i].labels.split(","))) == base | set(best) and (base or got[i].score == max(best.values(), default=0))
+    places = {r.place for r in license_scan.similar_windows(df.filter("doc_id = 0")).filter("label = 'gpl-3.0'").collect()}
+    assert places <= set(range(12)) and places
+
+
 # 9
 def test_records_round_trip(spark, docs, library, tmp_path):
     path = f"file://{tmp_path}/records"
