@@ -53,12 +53,24 @@ def default_type_check(spark, d):
 
 @register("conform_claims")
 def conform_claims(spark, d):
-    """MAP-4 over the DENTAL claims (rows-only check: types come from the data)."""
-    defs = b.target_schemas(spark, d).filter(F.col("table_name") == "DENTAL_CLAIMS")
-    rows = defs.collect()  # schema-sized: one row per defined column
-    struct = mp.build_struct(rows)
-    src = b.claim_strings(spark, d).filter(F.col("table_name") == "DENTAL_CLAIMS")
-    return mp.conform_to_schema(src, struct, as_of=b.CLAIMS_AS_OF, keep=["tpa"])
+    """MAP-4 over the claims of every defined table (rows-only check: types come from the data).
+
+    A column whose type differs between the tables is a string: the text of the conformed value.
+    """
+    structs = {}  # schema-sized: one row per defined column
+    for r in b.target_schemas(spark, d).collect():
+        structs.setdefault(r["table_name"], []).append(r)
+    structs = {t: mp.build_struct(rows) for t, rows in sorted(structs.items())}
+    types = {}
+    for struct in structs.values():
+        for name, t, *_ in struct:
+            types.setdefault(name, set()).add(t)
+    src, out = b.claim_strings(spark, d), None
+    for t, struct in structs.items():
+        one = mp.conform_to_schema(src.filter(F.col("table_name") == t), struct, as_of=b.CLAIMS_AS_OF, keep=["tpa", "table_name"])
+        one = one.withColumns({name: F.col(name).cast("string") for name, *_ in struct if len(types[name]) > 1})
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
 
 
 @register("table_inventory", views=("v_mappings", "v_claim"), oracle="""

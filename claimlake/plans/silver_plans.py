@@ -127,8 +127,7 @@ RULE_ACTION = {"DQ001": "REJECT", "DQ002": "QUARANTINE", "DQ003": "QUARANTINE",
 def _checked(spark, d):
     c = b.claims(spark, d).select("claim_id", "tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("table_name"),
                                   "service_date", "billed_amount", "paid_amount", "diagnosis_code")
-    rules = b.silver_rules(spark, d).filter(F.col("target_table") == TABLE)
-    out, _errors = ru.apply_rules(c.filter(F.col("table_name") == TABLE), rules, RULES_AS_OF)
+    out, _errors = ru.apply_rules(c, b.silver_rules(spark, d), RULES_AS_OF, table_col="table_name")
     return out
 
 
@@ -145,7 +144,7 @@ f as (select c.*, list_filter([{", ".join(f"case when not coalesce({v}, false) t
 select claim_id, tpa, array_to_string(list_sort(failed), ',') as failed_rules from f""")
 def dq_rule_failures(spark, d):
     out = _checked(spark, d)
-    return out.select("claim_id", "tpa", F.array_join(F.array_sort("_failed_rules"), ",").alias("failed_rules"))
+    return out.select("claim_id", "tpa", "table_name", F.array_join(F.array_sort("_failed_rules"), ",").alias("failed_rules"))
 
 
 @register("business_logic_cols", views=("v_claim",), oracle="""
@@ -154,7 +153,7 @@ select claim_id, tpa, cast(paid_amount as double) / nullif(cast(billed_amount as
 from v_claim where claim_type = 'MEDICAL'""")
 def business_logic_cols(spark, d):
     out = _checked(spark, d)
-    return out.select("claim_id", "tpa", F.col("DISCOUNT_RATE").cast("double").alias("discount_rate"),
+    return out.select("claim_id", "tpa", "table_name", F.col("DISCOUNT_RATE").cast("double").alias("discount_rate"),
                       "diagnosis_code")
 
 
@@ -170,7 +169,7 @@ select tpa, count(*) as input_rows, count(*) filter (where {ACTION_SQL} is null)
  count(*) filter (where {ACTION_SQL} = 'REJECT') as rejected_rows
 from f group by tpa""")
 def rule_routing_counts(spark, d):
-    return ru.routing_counts(_checked(spark, d))
+    return ru.routing_counts(_checked(spark, d), table_col="table_name")
 
 
 @register("quarantine_rows", views=("v_claim",), oracle=FAILS_SQL + f"""
@@ -181,8 +180,8 @@ join (select * from (values {", ".join(f"('{a}', '{n}', '{lg.replace(chr(39), ch
       as t(rid, rule_name, rule_logic)) r on q.rule_id = r.rid""")
 def quarantine_rows(spark, d):
     _clean, q, _rej = ru.route(_checked(spark, d))
-    rules = b.silver_rules(spark, d).filter(F.col("target_table") == TABLE)
-    out = ru.to_quarantine(q, rules, "Q1", RULES_AS_OF, "RAW_DATA_TABLE", TABLE, id_col="claim_id")
+    out = ru.to_quarantine(q, b.silver_rules(spark, d), "Q1", RULES_AS_OF, "RAW_DATA_TABLE", None, id_col="claim_id",
+                           table_col="table_name")
     return out.drop("record_data", "quarantine_timestamp", "reprocessed")
 
 

@@ -258,3 +258,47 @@ def test_reprocessed_records_come_back_once(spark):
                                    "error_action string, priority int, active boolean")
     out, marked = rules.reprocess_quarantine(q, "_record_id long, tpa string, v int", rl, "2024-01-01 00:00:00")
     assert out.count() == 1 and marked.filter("reprocessed").count() == 2
+
+
+def test_rules_and_conforming_cover_every_claim_table(spark, sf_dir):
+    import datetime as dt
+    from collections import Counter, defaultdict
+
+    import __spark_entry__ as E
+    from claimlake.plans import bindings as b
+    q = E.queries()
+    claims = b.claims(spark, sf_dir).collect()
+    groups = defaultdict(list)
+    for c in claims:
+        groups[c.tpa, c.claim_type + "_CLAIMS"].append(c)
+    assert len({t for _, t in groups}) == 3
+    want, rate = Counter(), Counter()
+    for (tpa, table), rows in groups.items():
+        bills = [c.billed_amount for c in rows if c.billed_amount is not None]
+        dear = not bills or sum(bills) / len(bills) >= 38000
+        for c in rows:
+            ok = {"DQ001": c.claim_id is not None, "DQ002": c.service_date is not None and c.service_date <= dt.date(1998, 6, 30),
+                  "DQ003": c.billed_amount is not None and c.billed_amount >= 0, "DQ004": c.paid_amount is not None and c.paid_amount <= 80000, "DQ006": not dear}
+            want[c.claim_id, tpa, table, ",".join(k for k, v in ok.items() if not v)] += 1
+            rate[c.claim_id, tpa, table, round(float(c.paid_amount) / float(c.billed_amount), 9) if c.billed_amount else None] += 1
+    got = Counter(tuple(r) for r in q["dq_rule_failures"](spark, sf_dir).select("claim_id", "tpa", "table_name", "failed_rules").collect())
+    assert got == want
+    assert rate == Counter((r.claim_id, r.tpa, r.table_name, None if r.discount_rate is None else round(r.discount_rate, 9))
+                           for r in q["business_logic_cols"](spark, sf_dir).collect())
+
+    def route(f):
+        return "REJECT" if "DQ001" in f else "QUARANTINE" if "DQ002" in f or "DQ003" in f else "FLAG" if f else None
+    counts = {(r.tpa, r.table_name): r for r in q["rule_routing_counts"](spark, sf_dir).collect()}
+    assert counts.keys() == groups.keys()
+    for k, r in counts.items():
+        n = Counter()
+        for (_, tpa, table, f), m in want.items():
+            if (tpa, table) == k:
+                n[route(f)] += m
+        assert (r.input_rows, r.clean_rows, r.flagged_rows, r.quarantined_rows, r.rejected_rows) == (len(groups[k]), n[None], n["FLAG"], n["QUARANTINE"], n["REJECT"])
+    held = Counter((r.claim_id, r.tpa, r.target_table, r.rule_id) for r in q["quarantine_rows"](spark, sf_dir).collect())
+    assert held == Counter((c, tpa, table, rule) for (c, tpa, table, f), m in want.items() if route(f) == "QUARANTINE" for rule in f.split(",") for _ in range(m))
+    conformed = q["conform_claims"](spark, sf_dir)
+    assert {(r.tpa, r.table_name): r["count"] for r in conformed.groupBy("tpa", "table_name").count().collect()} == {k: len(v) for k, v in groups.items()}
+    defined = b.target_schemas(spark, sf_dir)
+    assert {r.column_name for r in defined.collect()} <= set(conformed.columns)
