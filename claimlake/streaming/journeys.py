@@ -1,9 +1,9 @@
 """JRN-13: running journey metrics over an event stream.
 
-``groupBy(journey)`` in update mode keeps one state row per journey; each
-micro-batch upserts the changed journeys into a versioned parquet table.
-Exact distinct counts are not supported in streaming aggregations, so the
-provider count is ``approx_count_distinct``.
+``groupBy(journey, provider)`` in update mode keeps one state row per pair;
+each micro-batch upserts the changed pairs into a versioned parquet table, and
+the journeys are put together from it: their provider count is the number of
+their pairs with a provider, which is exact.
 """
 
 from __future__ import annotations
@@ -13,25 +13,32 @@ from pyspark.sql import functions as F
 
 from claimlake.operators.merge import merge_upsert, read_current, write_versioned
 
-METRICS_SCHEMA = ("journey_id string, event_count long, total_cost decimal(28,2), provider_count long, "
-                  "first_event date, last_event date")
 
-
-def journey_metrics_stream(events: DataFrame) -> DataFrame:
-    return events.groupBy("journey_id").agg(
-        F.count(F.lit(1)).alias("event_count"), F.sum("cost").cast("decimal(28,2)").alias("total_cost"),
-        F.approx_count_distinct("provider_id").alias("provider_count"),
+def provider_metrics_stream(events: DataFrame) -> DataFrame:
+    """Running metrics of each (journey, provider); events without a provider are a pair of their own."""
+    return events.groupBy("journey_id", "provider_id").agg(
+        F.count(F.lit(1)).alias("event_count"), F.sum("cost").alias("total_cost"),
         F.min("event_date").alias("first_event"), F.max("event_date").alias("last_event"))
 
 
+def journey_metrics(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("journey_id").agg(
+        F.sum("event_count").alias("event_count"), F.sum("total_cost").cast("decimal(28,2)").alias("total_cost"),
+        F.count("provider_id").alias("provider_count"),
+        F.min("first_event").alias("first_event"), F.max("last_event").alias("last_event"))
+
+
 def stream_journey_metrics(spark: SparkSession, events: DataFrame, table_root: str, checkpoint: str,
                            available_now: bool = True):
-    agg = journey_metrics_stream(events)
+    agg = provider_metrics_stream(events)
+    pairs_root = table_root.rstrip("/") + "-providers"
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        cur = read_current(s, table_root, METRICS_SCHEMA)
-        write_versioned(merge_upsert(cur, batch, ["journey_id"]), table_root)
+        cur = read_current(s, pairs_root, batch.schema)
+        # a batch that is repeated brings the same totals, so it may stop between the two writes
+        write_versioned(merge_upsert(cur, batch, ["journey_id", "provider_id"]), pairs_root)
+        write_versioned(journey_metrics(read_current(s, pairs_root)), table_root)
 
     w = agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 minutes")

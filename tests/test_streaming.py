@@ -31,3 +31,22 @@ def test_stream_ingest_replay_is_harmless(spark, tmp_path, fixtures_dir):
     # a new checkpoint replays every file: nothing is loaded twice
     ingest.stream_ingest(spark, str(root), raw, str(tmp_path / "ck2"))
     assert spark.read.parquet(raw).count() == n1 == 6
+
+
+def test_stream_counts_many_providers_exactly(spark, tmp_path):
+    from claimlake.operators.merge import read_current
+    from claimlake.streaming import journeys
+    ev = (spark.range(6000).withColumns({
+        "journey_id": F.concat(F.lit("J"), (F.col("id") % 3).cast("string")), "cost": F.lit("1.25").cast("decimal(18,2)"),
+        "provider_id": F.when(F.col("id") % 3 < 2, (F.col("id") % 1701).cast("int")),
+        "event_date": F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 50).cast("int"))}))
+    for part in range(3):  # the same providers come again in later files
+        ev.filter(F.col("id") % 7 % 3 == part).coalesce(1).write.mode("append").parquet(str(tmp_path / "events"))
+    raw = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "events"))
+    root = str(tmp_path / "table")
+    journeys.stream_journey_metrics(spark, raw, root, str(tmp_path / "ck"))
+    got = {r.journey_id: tuple(r) for r in read_current(spark, root).collect()}
+    want = {r.journey_id: tuple(r) for r in ev.groupBy("journey_id").agg(
+        F.count(F.lit(1)).alias("event_count"), F.sum("cost").cast("decimal(28,2)").alias("total_cost"), F.countDistinct("provider_id").alias("provider_count"),
+        F.min("event_date").alias("first_event"), F.max("event_date").alias("last_event")).collect()}
+    assert got == want and {k: v[3] for k, v in got.items()} == {"J0": 567, "J1": 567, "J2": 0}
