@@ -7,7 +7,9 @@ themselves (an ``article`` or ``main`` element marks the content): a tag costs
 more the more of its uses lie outside, a word in a link counts less the more
 of such words lie outside.  Subtrees that are never content (menus, footers,
 forms, scripts, notices, adverts, comments of readers and the like, by element,
-role, class or id) give no words and cost a bounded amount to bridge.
+role, class or id) give no words and cost a bounded amount to bridge.  A class,
+an id or a form does not exclude an element that holds an article or main
+element; elements whose end tag is left out end where HTML ends them.
 """
 
 from __future__ import annotations
@@ -36,28 +38,88 @@ CONTENT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "b", "i", "em", "strong", "b
 MARKED = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?|banners?|sidebars?|side-bar|widgets?|comments?|commentlist|disqus|replies|respond|"
                     r"notices?|cookies?|consent|gdpr|alerts?|newsletters?|subscri(?:be|ption)|signup|popups?|modals?|menus?|nav|navbar|navigation|breadcrumbs?|footers?|masthead|"
                     r"related|recommended|recommendations|share|sharing|social|login|search|pagination|pager|toolbar|skip-link)(?:$|[\s_-]|\d)", re.I)
+_MODIFIED = re.compile(r"(?:^|[\s_-])(?:has|no|non|not|with|without)[_-]\S*", re.I)  # has-sidebar tells of a sidebar elsewhere
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "alertdialog"}
 
+# Elements whose end tag can be left out: the tags that end them, and what hides such tags when nested.
+_CELL = {"td", "th", "tr", "tbody", "thead", "tfoot"}
+IMPLIED = {
+    "p": ({"address", "article", "aside", "blockquote", "center", "details", "dd", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5",
+           "h6", "header", "hgroup", "hr", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "table", "ul"}, ()),
+    "li": ({"li"}, ("ul", "ol", "menu")), "dt": ({"dt", "dd"}, ("dl",)), "dd": ({"dt", "dd"}, ("dl",)),
+    "tr": (_CELL - {"td", "th"}, ("table",)), "td": (_CELL, ("table",)), "th": (_CELL, ("table",))}
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 
 
-def excluded(name: str, attrs: str, in_border: bool) -> bool:
-    """Whether an element's subtree is never content."""
-    if name in NEVER or name == "header" and not in_border:
-        return True
+def marked(value: str) -> bool:
+    return bool(MARKED.search(value) and MARKED.search(_MODIFIED.sub(" ", value)))
+
+
+def excluded(name: str, attrs: str, in_border: bool) -> str:
+    """Whether an element's subtree is never content: "" not, "mark" if a class, an id or a form says so, else "sure"."""
+    if name in ("form", "fieldset"):
+        found = "mark"
+    elif name in NEVER or name == "header" and not in_border:
+        return "sure"
+    else:
+        found = ""
     if not attrs or name in ("body", "html", *BORDERS):
-        return False
+        return found
     for m in _ATTR.finditer(attrs):
         key = m[1].lower()
-        if key in ("class", "id") and m[2] and MARKED.search(m[2].strip("\"'")):
-            return True
+        if key in ("class", "id") and m[2] and marked(m[2].strip("\"'")):
+            found = "mark"
         if key == "role" and m[2] and m[2].strip("\"'").lower() in ROLES or key == "hidden" or key == "aria-hidden" and m[2] and "true" in m[2]:
-            return True
+            return "sure"
         if key == "style" and m[2] and "display:none" in m[2].replace(" ", "").lower():
-            return True
-    return False
+            return "sure"
+    return found
+
+
+def holders(html: str) -> set[int]:
+    """Where the elements begin that hold an article or main element which is not marked itself (a reader's comment,
+    a teaser).  One pass with a stack of the open elements."""
+    out: set[int] = set()
+    stack: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+
+    def pop() -> str:
+        n = stack.pop()[0]
+        count[n] -= 1
+        return n
+
+    pos = 0
+    while (m := _TOKEN.search(html, pos)) is not None:
+        pos = m.end()
+        name = m[2] or m[5]
+        if name is None:
+            continue
+        name, close, attrs = name.lower(), bool(m[1] or m[4]), m[3] or m[6] or ""
+        if name in _RAW_END and not close:
+            if not attrs.endswith("/"):
+                end = _RAW_END[name].search(html, pos)
+                pos = end.end() if end else len(html)
+            continue
+        if close:
+            if count.get(name):
+                while pop() != name:
+                    pass
+            continue
+        while stack and stack[-1][0] in IMPLIED and name in IMPLIED[stack[-1][0]][0]:
+            pop()
+        if name in BORDERS and not any(k[1].lower() in ("class", "id") and k[2] and marked(k[2].strip("\"'")) for k in _ATTR.finditer(attrs)):
+            # those around a holder are holders already
+            for _, start in reversed(stack):
+                if start in out:
+                    break
+                out.add(start)
+        if name not in VOID:
+            stack.append((name, m.start()))
+            count[name] = count.get(name, 0) + 1
+    return out
 
 
 def events(html: str) -> Iterator[tuple]:
@@ -65,6 +127,8 @@ def events(html: str) -> Iterator[tuple]:
     inside: within an article or main element."""
     pos, skip, depth, link, inside = 0, "", 0, 0, 0
     n = len(html)
+    inner: dict[str, int] = {}  # open elements of a skipped one that may have no end tag
+    holds: set[int] | None = None
     while pos < n:
         m = _TOKEN.search(html, pos)
         if m is None:
@@ -86,8 +150,17 @@ def events(html: str) -> Iterator[tuple]:
                 pos = end.end() if end else n
             continue
         opens = not close and name not in VOID
+        if skip in IMPLIED:
+            ends, scopes = IMPLIED[skip]
+            nested = any(inner.get(x) for x in scopes)
+            outer = close and not inner.get(name)  # the end of an element around, or of the skipped one
+            if not nested and name != skip and outer and (name not in INLINE or name in _CELL) or not nested and not close and name in ends:
+                skip = ""
+            else:
+                inner[name] = max(0, inner.get(name, 0) + (1 if opens else -1 if close else 0))
+                depth = 0 if name == skip and outer and not nested else 1
         if skip:
-            if name == skip:
+            if skip not in IMPLIED and name == skip:
                 depth += 1 if opens else -1 if close else 0
             if depth == 0 or close and (name in BORDERS or name in ("body", "html")):
                 skip = ""
@@ -95,8 +168,13 @@ def events(html: str) -> Iterator[tuple]:
                 inside = max(0, inside - 1)
             yield "tag", name, True, True, inside > 0
             continue
-        if opens and excluded(name, attrs, inside > 0):
-            skip, depth = name, 1
+        never = excluded(name, attrs, inside > 0) if opens else ""
+        if never == "mark":
+            if holds is None:
+                holds = holders(html)
+            never = "" if m.start() in holds else never
+        if never:
+            skip, depth, inner = name, 1, {}
             yield "tag", name, True, True, inside > 0
             continue
         if name in BORDERS:

@@ -58,6 +58,23 @@ def test_html_whole_table_matches_brute_force(spark, sf_dir):
         assert got[r.page_id] == "\n\n".join(b for b in blocks if b)
 
 
+def test_html_keeps_articles_in_marked_wrappers_and_after_open_elements():
+    weight = html_extract.weights({})
+    body = "real words of the article " * 20
+    want = body.strip()
+    article = f"<article><p>{body}</p></article>"
+    for wrapper in ("page has-sidebar", "col no-sidebar", "layout--with-sidebar", "page sidebar", "widget"):
+        assert html_extract.extract(f"<body><div class='ad'>Buy</div><div class='{wrapper}'><div>{article}</div><div class='sidebar'>side box</div></div></body>", weight) == want
+    assert html_extract.extract(f"<body><form id='aspnet'>{article}</form></body>", weight) == want
+    assert html_extract.extract(f"<body><div class='col no-sidebar'><p>{body}</p></div></body>", weight) == want
+    for inner in (f"<p class='notice'>Ad<p>{body}", f"<div><p class='notice'>Ad</div><p>{body}</p>", f"<ul><li class='share'>Ad<ul><li>Ad</ul><li>{body}</ul>", f"<ul><li class='share'>Ad</ul><p>{body}",
+                  f"<dl><dt class='ad'>Ad<dd>{body}</dl>", f"<table><tr class='ad'><td>Ad<tr><td>{body}</table>", f"<table><tr><td class='ad'>Ad<table><tr><td>Ad</table><td>{body}</table>",
+                  f"<p class='notice'>Ad <b>Ad</b> Ad</p><p>{body}</p>"):
+        assert html_extract.extract(f"<body><article>{inner}</article></body>", weight) == want
+    assert html_extract.extract(f"<body>{article}<div class='comments'><article class='comment'><p>{'said a reader ' * 60}</p></article></div></body>", weight) == want
+    assert html_extract.extract("<div class='ad'>" * 20_000 + article, weight) == want
+
+
 # 2
 def test_decontamination_by_brute_force(spark):
     rng = random.Random(5)
