@@ -113,6 +113,12 @@ def fit(x: np.ndarray, total: int, threshold: float = THRESHOLD, recall: float =
     return {"half": half, "w1": w1, "w2": w2, "slack": float(np.quantile(over, recall)) + 1e-9}
 
 
+def _walked(v: np.ndarray, m: dict) -> list[tuple[int, int]]:
+    """The cells that a unit vector visits, its own first."""
+    v = v[None, :]
+    return walk(_distances(v[:, :m["half"]], m["w1"])[0], _distances(v[:, m["half"]:], m["w2"])[0], m["slack"])
+
+
 def _cells(models):
     """Index rows (visit 0: the own cell) and query rows (visit 1: each cell of the walk)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,8 +130,7 @@ def _cells(models):
                 if m is None:  # a length that the sample has none of: one cell
                     found = [(0, 0)]
                 else:
-                    v = np.frombuffer(vecs[r])[None, :]
-                    found = walk(_distances(v[:, :m["half"]], m["w1"])[0], _distances(v[:, m["half"]:], m["w2"])[0], m["slack"])
+                    found = _walked(np.frombuffer(vecs[r]), m)
                 at += [r] * (len(found) + 1)
                 cell += [found[0][0] * 65536 + found[0][1], *(i * 65536 + j for i, j in found)]
                 visit += [0, *([1] * len(found))]
@@ -134,9 +139,25 @@ def _cells(models):
     return run
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, models):
     """Rows sorted by key, then visit: a block's vectors, then its queries in parts."""
-    def links(block, queries):
+    def one_sided(key, near, qx, bx):
+        """near, but only the links that the block's vector does not find by its own walk."""
+        m = models.value.get(key[0])
+        out = np.zeros_like(near)
+        if m is None:
+            return out
+        own = {int(i): _walked(qx[i], m)[0] for i in np.flatnonzero(near.any(1))}
+        away = np.array([i for i, c in own.items() if c[0] * 65536 + c[1] != key[2]], int)
+        if len(away):
+            cells = sorted({own[i] for i in away.tolist()})
+            at = np.array([cells.index(own[i]) for i in away.tolist()])
+            for j in np.flatnonzero(near[away].any(0)):
+                reach = set(_walked(bx[j], m))
+                out[away, j] = near[away, j] & ~np.array([c in reach for c in cells])[at]
+        return out
+
+    def links(key, block, queries):
         if not block or not queries:
             return None
         bid, bm, bx = np.array([r[0] for r in block]), np.array([r[1] for r in block]), np.stack([r[2] for r in block])
@@ -144,6 +165,10 @@ def _verify(threshold: float):
         near = (qx @ bx.T >= threshold) & (qid[:, None] != bid[None, :])
         q = np.flatnonzero(near.any(1))
         counts = near[q] @ bm
+        # a vector whose own walk does not lead back has the link counted here
+        back = one_sided(key, near, qx, bx)
+        b = np.flatnonzero(back.any(0))
+        returned = np.array([r[1] for r in queries]) @ back[:, b]
         # spanning forest of the block's links: a query joins the groups of what it finds
         group = np.arange(len(bid))
         forest = []
@@ -153,13 +178,13 @@ def _verify(threshold: float):
             forest += [(int(qid[i]), int(bid[j])) for j in found[at]]
             if len(groups) > 1:
                 group[np.isin(group, groups[1:])] = groups[0]
-        return [(int(i), None, int(n)) for i, n in zip(qid[q], counts)] + [(a, c, None) for a, c in forest]
+        return [(int(i), None, int(n)) for i, n in [*zip(qid[q], counts), *zip(bid[b], returned)]] + [(a, c, None) for a, c in forest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block, queries = None, [], []
 
         def flush():
-            got = links(block, queries)
+            got = links(key, block, queries)
             if got:
                 cols = list(zip(*got))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["cls", "other", "n"])
@@ -212,7 +237,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, recall: fl
     queries = dealt.filter("visit = 1").withColumn("part", mine(2)).withColumn("block", F.explode(each))
     key = [*cell, "block", "part"]
     dealt = index.unionByName(queries).repartition(width, *key).sortWithinPartitions(*key, "visit", "cls")
-    found = common.stored(dealt.mapInArrow(_verify(threshold), "cls bigint, other bigint, n bigint"), "links")
+    found = common.stored(dealt.mapInArrow(_verify(threshold, models), "cls bigint, other bigint, n bigint"), "links")
     counts = found.filter(F.col("n").isNotNull()).groupBy("cls").agg(F.sum("n").alias("n"))
     label = components(found.filter(F.col("n").isNull()), "cls", "other")
     named = (classes.select("cls", "m", "least").join(label, F.col("cls") == F.col("node"), "left").join(counts, "cls", "left")

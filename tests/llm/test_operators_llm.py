@@ -244,6 +244,20 @@ def test_embeddings(spark):
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_embedding_links_count_on_both_sides(spark):
+    rng = np.random.default_rng(7)
+    a = rng.normal(size=(600, 16))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    t = rng.normal(size=a.shape)
+    t -= (t * a).sum(1)[:, None] * a
+    x = np.concatenate([a, 0.935 * a + math.sqrt(1 - 0.935 ** 2) * t / np.linalg.norm(t, axis=1, keepdims=True)])
+    assert ((x @ x.T >= 0.93).sum(1) == 2).all()  # each has one partner
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embed_dedup.near_duplicates(df, recall=0.75).collect()}  # a short walk: many links are found from one side only
+    linked = [i for i in range(600) if got[600 + i].component_id == i]
+    assert 100 < len(linked) and all(got[i].n_links == got[600 + i].n_links == int(got[600 + i].component_id == i) for i in range(600))
+
+
 def test_multi_sequence_walk_is_in_order():
     rng = np.random.default_rng(2)
     a, b = rng.random(9), rng.random(7)
