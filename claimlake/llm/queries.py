@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import binary_out, common, decontam, embed_dedup, html_extract, jaccard_join, labelled, license_scan, mixing, quality, token_counts, toxicity
+from claimlake.llm import binary_out, common, decontam, embed_dedup, html_extract, jaccard_join, labelled, license_scan, mixing, prefix_trie, quality, structure_repair, token_counts, toxicity
 from claimlake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -85,6 +85,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plants faults in all conversations and finds their cheapest repairs; one row per conversation."""
+    return structure_repair.audited(structure_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations' prefixes, after their openings were spliced; one row per node."""
+    turns = common.stored(prefix_trie.numbered(prefix_trie.turn_digests(table(spark, sf_dir, "conversations"))), "turns")
+    return prefix_trie.trie(*prefix_trie.spliced(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_decontaminate": op2_decontaminate,
@@ -96,6 +107,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_binary_records": op9_binary_records,
     "op10_token_counts": op10_token_counts,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
