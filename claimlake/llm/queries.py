@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import binary_out, common, decontam, embed_dedup, html_extract, jaccard_join, labelled, license_scan, mixing, prefix_trie, quality, structure_repair, token_counts, toxicity
+from claimlake.llm import binary_out, bpe, common, decontam, embed_dedup, html_extract, jaccard_join, labelled, license_scan, mixing, prefix_trie, quality, structure_repair, token_counts, toxicity
 from claimlake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -96,6 +97,12 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(*prefix_trie.spliced(turns))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes all documents by the rank table and decodes them again; one row per document."""
+    import public_tokenizers
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(RANKS), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_decontaminate": op2_decontaminate,
@@ -109,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_structure_repair": op11_structure_repair,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLES: dict[str, str] = {
