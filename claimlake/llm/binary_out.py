@@ -4,14 +4,16 @@ Record: length (u64, little-endian), masked crc32 of those 8 bytes (u32), the
 payload, masked crc32 of the payload (u32).  The mask rotates the checksum by
 15 bits and adds a constant, so a checksum stored over data that itself holds
 checksums stays strong.  Payload: ids as u16 when the vocabulary allows it,
-else u32.  One file per shard (``part-00000.rec``); shards and the records in
+else u32.  One file per shard and attempt (``part-00000-<attempt>.rec``); shards and the records in
 them follow the key.  The index (Parquet under ``index``) has one row per
-record: key, shard, byte offset, payload length, ids before it in its shard;
-any order of its rows is a shuffled read.
+record: key, shard, file, byte offset, payload length, ids before it in its shard;
+any order of its rows is a shuffled read.  Spark commits the index of one attempt of each task, so
+a file that a lost or repeated task left behind is never read; nothing is renamed.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,7 +31,7 @@ from claimlake.llm.encoding import encoder
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masking rule
 HEAD, TAIL = 12, 4
-INDEX = "doc_id bigint, shard int, offset bigint, length bigint, first bigint, n_tokens bigint, width int"
+INDEX = "doc_id bigint, shard int, file string, offset bigint, length bigint, first bigint, n_tokens bigint, width int"
 
 
 def masked_crc(data: bytes) -> int:
@@ -54,38 +56,39 @@ def unframe(record: bytes) -> bytes:
 
 
 def shard_name(shard: int) -> str:
-    return f"part-{shard:05d}.rec"
+    return f"part-{shard:05d}-{uuid.uuid4().hex}.rec"
+
+
+def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The store that Spark names so, as Arrow names it."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
 
 
 def _write(uri: str, tokenizer_path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard = encoder(tokenizer_path), TaskContext.get().partitionId()
-        fs, root = pafs.FileSystem.from_uri(uri)
+        fs, root = file_system(uri)
         tail = np.array([end_id], dtype=enc.width).tobytes()
-        temp, offset, first, out = f"{root}/.{shard_name(shard)}.{uuid.uuid4().hex}", 0, 0, None
+        name, offset, first, out = shard_name(shard), 0, 0, None
+        names = [c.split()[0] for c in INDEX.split(", ")]
+        kinds = (pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
         try:
             for b in batches:
-                texts = [t or "" for t in b.column("text").to_pylist()]
                 rows = []
-                for a in range(0, len(texts), 256):
-                    for key, ids in zip(b.column("doc_id")[a:a + 256].to_pylist(), enc.encode(texts[a:a + 256])):
-                        payload = ids + tail
-                        if out is None:
-                            out = fs.open_output_stream(temp)
-                        out.write(frame(payload))
-                        n = len(payload) // enc.width.itemsize
-                        rows.append((key, shard, offset, len(payload), first, n, enc.width.itemsize))
-                        offset += HEAD + len(payload) + TAIL
-                        first += n
-                cols = list(zip(*rows)) or [()] * 7
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                                 ["doc_id", "shard", "offset", "length", "first", "n_tokens", "width"])
+                for key, ids in zip(b.column("doc_id").to_pylist(), enc.encode(b.column("text"))):
+                    payload = ids + tail
+                    if out is None:
+                        out = fs.open_output_stream(f"{root}/{name}")
+                    out.write(frame(payload))
+                    n = len(payload) // enc.width.itemsize
+                    rows.append((key, shard, name, offset, len(payload), first, n, enc.width.itemsize))
+                    offset += HEAD + len(payload) + TAIL
+                    first += n
+                cols = list(zip(*rows)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
         finally:
             if out is not None:
                 out.close()
-        if out is not None:  # the whole shard appears at once; a repeated attempt replaces it by the same bytes
-            fs.move(temp, f"{root}/{shard_name(shard)}")
     return run
 
 
@@ -96,7 +99,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     order; null doc_ids come first, equal ones follow their text (null and
     empty first), null texts hold the end id alone.  No rows: an empty index and no shard.
     """
-    fs, root = pafs.FileSystem.from_uri(path)
+    fs, root = file_system(path)
     fs.create_dir(root, recursive=True)
     n = common.shuffle_width(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -109,15 +112,15 @@ def read_index(spark, path: str) -> DataFrame:
 
 def _read(uri: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pafs.FileSystem.from_uri(uri)
+        fs, root = file_system(uri)
         at, f = None, None
         for b in batches:
             ids = []
-            for shard, offset, length, width in zip(*(b.column(c).to_pylist() for c in ("shard", "offset", "length", "width"))):
-                if shard != at:
+            for name, offset, length, width in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length", "width"))):
+                if name != at:
                     if f is not None:
                         f.close()
-                    at, f = shard, fs.open_input_file(f"{root}/{shard_name(shard)}")
+                    at, f = name, fs.open_input_file(f"{root}/{name}")
                 payload = unframe(f.read_at(HEAD + length + TAIL, offset))
                 ids.append(np.frombuffer(payload, dtype=f"<u{width}").astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.binary())], [*b.schema.names, "ids"])

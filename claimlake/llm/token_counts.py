@@ -34,8 +34,7 @@ def _count(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            n = enc.lengths(b.column("content").to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(n, pa.int64())], ["digest", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(enc.lengths(b.column("content")), pa.int64())], ["digest", "n_tokens"])
     return run
 
 
