@@ -131,26 +131,27 @@ def _checked(spark, d):
     return out
 
 
+# All three claim tables: each row meets the rules of its tenant and table; the aggregate rule is taken per tenant and table.
 FAILS_SQL = f"""
-with c as (select claim_id, tpa, service_date, billed_amount, paid_amount, diagnosis_code from v_claim
-           where claim_type = 'MEDICAL'),
-a as (select tpa, coalesce(avg(billed_amount) < 38000, false) as ok6 from c group by tpa),
+with c as (select claim_id, tpa, concat(claim_type, '_CLAIMS') as table_name, service_date, billed_amount, paid_amount, diagnosis_code from v_claim),
+a as (select tpa, table_name, coalesce(avg(billed_amount) < 38000, false) as ok6 from c group by tpa, table_name),
 f as (select c.*, list_filter([{", ".join(f"case when not coalesce({v}, false) then '{k}' end" for k, v in RULE_SQL.items())},
         case when not a.ok6 then 'DQ006' end], lambda x: x is not null) as failed
-      from c join a on c.tpa = a.tpa)"""
+      from c join a on c.tpa = a.tpa and c.table_name = a.table_name)"""
 
 
 @register("dq_rule_failures", views=("v_claim",), oracle=FAILS_SQL + """
-select claim_id, tpa, array_to_string(list_sort(failed), ',') as failed_rules from f""")
+select claim_id, tpa, table_name, array_to_string(list_sort(failed), ',') as failed_rules from f""")
 def dq_rule_failures(spark, d):
     out = _checked(spark, d)
     return out.select("claim_id", "tpa", "table_name", F.array_join(F.array_sort("_failed_rules"), ",").alias("failed_rules"))
 
 
 @register("business_logic_cols", views=("v_claim",), oracle="""
-select claim_id, tpa, cast(paid_amount as double) / nullif(cast(billed_amount as double), 0) as discount_rate,
+select claim_id, tpa, concat(claim_type, '_CLAIMS') as table_name,
+ cast(paid_amount as double) / nullif(cast(billed_amount as double), 0) as discount_rate,
  upper(trim(diagnosis_code)) as diagnosis_code
-from v_claim where claim_type = 'MEDICAL'""")
+from v_claim""")
 def business_logic_cols(spark, d):
     out = _checked(spark, d)
     return out.select("claim_id", "tpa", "table_name", F.col("DISCOUNT_RATE").cast("double").alias("discount_rate"),
@@ -163,17 +164,17 @@ ACTION_SQL = """case when list_contains(failed, 'DQ001') then 'REJECT'
 
 
 @register("rule_routing_counts", views=("v_claim",), oracle=FAILS_SQL + f"""
-select tpa, count(*) as input_rows, count(*) filter (where {ACTION_SQL} is null) as clean_rows,
+select tpa, table_name, count(*) as input_rows, count(*) filter (where {ACTION_SQL} is null) as clean_rows,
  count(*) filter (where {ACTION_SQL} in ('FLAG', 'CORRECT')) as flagged_rows,
  count(*) filter (where {ACTION_SQL} = 'QUARANTINE') as quarantined_rows,
  count(*) filter (where {ACTION_SQL} = 'REJECT') as rejected_rows
-from f group by tpa""")
+from f group by tpa, table_name""")
 def rule_routing_counts(spark, d):
     return ru.routing_counts(_checked(spark, d), table_col="table_name")
 
 
 @register("quarantine_rows", views=("v_claim",), oracle=FAILS_SQL + f"""
-select 'Q1' as batch_id, tpa, 'RAW_DATA_TABLE' as source_table, '{TABLE}' as target_table, claim_id, rule_id,
+select 'Q1' as batch_id, tpa, 'RAW_DATA_TABLE' as source_table, table_name as target_table, claim_id, rule_id,
  r.rule_name, concat('Failed rule: ', r.rule_logic) as failure_reason
 from (select *, unnest(failed) as rule_id from f where {ACTION_SQL} = 'QUARANTINE') q
 join (select * from (values {", ".join(f"('{a}', '{n}', '{lg.replace(chr(39), chr(39) * 2)}')" for a, n, _t, _c, lg, *_r in b.RULES)})
@@ -185,6 +186,76 @@ def quarantine_rows(spark, d):
     return out.drop("record_data", "quarantine_timestamp", "reprocessed")
 
 
+# -- corrections ----------------------------------------------------------------------
+
+# Fixed values: (rule_id, target column, logic, correction, fallback).  The second reads what the first may set; CR003 cannot mend
+# bills that are not positive, so those rows fall to its fallback; CR004 has no correction.
+CORRECT_RULES = [
+    ("CR001", "ALLOWED_AMOUNT", "ALLOWED_AMOUNT <= 0.95 * BILLED_AMOUNT", "ROUND(0.95 * BILLED_AMOUNT, 2)", None),
+    ("CR002", "PAID_AMOUNT", "PAID_AMOUNT <= 0.97 * ALLOWED_AMOUNT", "ROUND(0.9 * ALLOWED_AMOUNT, 2)", None),
+    ("CR003", "BILLED_AMOUNT", "BILLED_AMOUNT <= 60000", "IFF(BILLED_AMOUNT <= 70000, 60000, BILLED_AMOUNT)", "QUARANTINE"),
+    ("CR004", "DIAGNOSIS_CODE", "DIAGNOSIS_CODE <> 'Brand#11'", None, "REJECT"),
+]
+
+
+def correct_rules(spark, d):
+    """The corrections for every tenant and table of the claims but America's dental ones."""
+    items = [F.struct(F.lit(i).alias("rule_id"), F.lit(i).alias("rule_name"), F.lit("DATA_QUALITY").alias("rule_type"), F.lit(c).alias("target_column"),
+                      F.lit(lg).alias("rule_logic"), F.lit("CORRECT").alias("error_action"), F.lit(n).alias("priority"), F.lit(True).alias("active"),
+                      F.lit(fix).cast("string").alias("correction"), F.lit(fb).cast("string").alias("fallback_action"))
+             for n, (i, c, lg, fix, fb) in enumerate(CORRECT_RULES)]
+    keys = b.silver_rules(spark, d).select("tpa", "target_table").distinct().filter("not (tpa = 'america' and target_table = 'DENTAL_CLAIMS')")
+    return keys.select("tpa", "target_table", F.inline(F.array(*items)))
+
+
+def _mended(spark, d):
+    c = b.claims(spark, d).select("claim_id", "tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("table_name"),
+                                  "billed_amount", "allowed_amount", "paid_amount", "diagnosis_code")
+    out, _errors = ru.apply_rules(c, correct_rules(spark, d), RULES_AS_OF, table_col="table_name")
+    return out
+
+
+# The sweep in SQL, one step after the other: allowed, paid, billed; then, as a new bill can break the limit on allowed (a lower one only
+# raises no other rule than CR001, which the row may still use if it did not), allowed and paid once more.
+MENDED_SQL = """
+with r0 as (select claim_id, tpa, concat(claim_type, '_CLAIMS') as table_name, diagnosis_code, billed_amount as b0, allowed_amount as a0, paid_amount as p0,
+  not (tpa = 'america' and claim_type = 'DENTAL') as held from v_claim),
+r1 as (select *, held and not (a0 <= 0.95 * b0) as x1, cast(case when held and not (a0 <= 0.95 * b0) then round(0.95 * b0, 2) else a0 end as decimal(18,2)) as a1 from r0),
+r2 as (select *, held and not (p0 <= 0.97 * a1) as x2, cast(case when held and not (p0 <= 0.97 * a1) then round(0.9 * a1, 2) else p0 end as decimal(18,2)) as p1 from r1),
+r3 as (select *, held and not (b0 <= 60000) as x3, cast(case when held and not (b0 <= 60000) and b0 <= 70000 then 60000 else b0 end as decimal(18,2)) as b1 from r2),
+r4 as (select *, held and not x1 and not (a1 <= 0.95 * b1) as x4,
+  cast(case when held and not x1 and not (a1 <= 0.95 * b1) then round(0.95 * b1, 2) else a1 end as decimal(18,2)) as a2 from r3),
+r5 as (select *, held and not x2 and not (p1 <= 0.97 * a2) as x5,
+  cast(case when held and not x2 and not (p1 <= 0.97 * a2) then round(0.9 * a2, 2) else p1 end as decimal(18,2)) as p2 from r4),
+m as (select *, list_filter([case when held and not (a2 <= 0.95 * b1) then 'CR001' end, case when held and not (p2 <= 0.97 * a2) then 'CR002' end,
+  case when held and not (b1 <= 60000) then 'CR003' end, case when held and not (diagnosis_code <> 'Brand#11') then 'CR004' end], lambda x: x is not null) as failed from r5)"""
+
+
+@register("corrected_rows", views=("v_claim",), oracle=MENDED_SQL + """
+select claim_id, tpa, table_name, b1 as billed_amount, a2 as allowed_amount, p2 as paid_amount,
+ cast(x1 as int) + cast(x2 as int) + cast(x3 as int) + cast(x4 as int) + cast(x5 as int) as corrections, array_to_string(failed, ',') as failed_rules,
+ case when list_contains(failed, 'CR004') then 'REJECT' when list_contains(failed, 'CR003') then 'QUARANTINE' when len(failed) > 0 then 'FLAG' end as action
+from m""")
+def corrected_rows(spark, d):
+    return _mended(spark, d).select("claim_id", "tpa", "table_name", "billed_amount", "allowed_amount", "paid_amount", F.size("_corrections").alias("corrections"),
+                                    F.array_join("_failed_rules", ",").alias("failed_rules"), ru.strictest_action(F.col("_failed_actions")).alias("action"))
+
+
+@register("correction_audit", views=("v_claim",), oracle=MENDED_SQL + """,
+s as (select claim_id, tpa, table_name, failed, unnest([
+  struct_pack(n := 1, x := x1, rule_id := 'CR001', target_column := 'allowed_amount', before := a0, after := a1),
+  struct_pack(n := 2, x := x2, rule_id := 'CR002', target_column := 'paid_amount', before := p0, after := p1),
+  struct_pack(n := 3, x := x3, rule_id := 'CR003', target_column := 'billed_amount', before := b0, after := b1),
+  struct_pack(n := 4, x := x4, rule_id := 'CR001', target_column := 'allowed_amount', before := a1, after := a2),
+  struct_pack(n := 5, x := x5, rule_id := 'CR002', target_column := 'paid_amount', before := p1, after := p2)]) as c from m)
+select 'C1' as batch_id, claim_id, tpa, table_name, cast(row_number() over (partition by claim_id, tpa, table_name order by c.n) - 1 as int) as step,
+ c.rule_id as rule_id, c.target_column as target_column, cast(c.before as varchar) as before, cast(c.after as varchar) as after,
+ not list_contains(failed, c.rule_id) as mended
+from s where c.x""")
+def correction_audit(spark, d):
+    return ru.correction_audit(_mended(spark, d), "C1", RULES_AS_OF, id_col="claim_id", table_col="table_name").drop("corrected_timestamp")
+
+
 @register("standardize_names", oracle="""
 select c_custkey, concat(upper(left(trim(c_name), 1)), lower(substr(trim(c_name), 2))) as c_name,
  lower(trim(c_mktsegment)) as c_mktsegment from customer""")

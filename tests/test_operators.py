@@ -302,3 +302,46 @@ def test_rules_and_conforming_cover_every_claim_table(spark, sf_dir):
     assert {(r.tpa, r.table_name): r["count"] for r in conformed.groupBy("tpa", "table_name").count().collect()} == {k: len(v) for k, v in groups.items()}
     defined = b.target_schemas(spark, sf_dir)
     assert {r.column_name for r in defined.collect()} <= set(conformed.columns)
+
+
+RULE_SCHEMA = ("rule_id string, tpa string, target_table string, rule_type string, target_column string, rule_logic string, error_action string, priority int, "
+               "active boolean, correction string, fallback_action string")
+
+
+def test_corrections_until_rules_hold(spark):
+    rules = spark.createDataFrame([
+        ("A", "t", "T", "DATA_QUALITY", "a", "a <= b", "CORRECT", 1, True, "b", None),
+        ("B", "t", "T", "DATA_QUALITY", "b", "b >= 0", "CORRECT", 2, True, "0", None),          # may break A, which is swept again
+        ("C", "t", "T", "DATA_QUALITY", "c", "c <> 'x'", "CORRECT", 3, True, "concat(c, '')", "QUARANTINE"),  # mends nothing
+        ("D", "t", "T", "DATA_QUALITY", "c", "length(c) < 5", "CORRECT", 4, True, None, "REJECT"),
+        ("E", "t", "T", "DATA_QUALITY", "a", "a < 100", "CORRECT", 5, True, "nonsense(a)", None),  # reported; the rule falls to FLAG
+        ("F", "t", "T", "DATA_QUALITY", "a", "DATEDIFF('fortnight', a, b) > 0", "REJECT", 6, True, None, None),  # reported, not raised
+    ], RULE_SCHEMA)
+    df = spark.createDataFrame([(1, "t", 5, 7, "ok"), (2, "t", 9, 7, "ok"), (3, "t", -1, -4, "ok"), (4, "t", None, 3, "x"), (5, "t", 1, 2, "longer"),
+                                (6, "u", 9, 7, "x"), (7, None, 9, 7, "x"), (8, "t", 200, 300, None), (9, "t", -9, -4, "ok")], "id int, tpa string, a int, b int, c string")
+    out, errors = ru.apply_rules(df, rules, "2024-01-01")
+    assert sorted(e["rule_id"] for e in errors) == ["E", "F"]
+    got = {r.id: r for r in out.withColumn("action", ru.strictest_action(out._failed_actions)).collect()}
+    what = {i: ((r.a, r.b, r.c), [(c.rule_id, c.before, c.after) for c in r._corrections], sorted(r._failed_rules), r.action) for i, r in got.items()}
+    assert what == {
+        1: ((5, 7, "ok"), [], [], None),
+        2: ((7, 7, "ok"), [("A", "9", "7")], [], None),
+        3: ((-4, 0, "ok"), [("A", "-1", "-4"), ("B", "-4", "0")], [], None),
+        4: ((3, 3, "x"), [("A", None, "3"), ("C", "x", "x")], ["C"], "QUARANTINE"),
+        5: ((1, 2, "longer"), [], ["D"], "REJECT"),
+        6: ((9, 7, "x"), [], [], None), 7: ((9, 7, "x"), [], [], None),
+        8: ((200, 300, None), [("C", None, None)], ["C", "D", "E"], "REJECT"),
+        9: ((-9, 0, "ok"), [("B", "-4", "0")], [], None)}
+    audit = ru.correction_audit(out, "B1", "2024-01-01", id_col="id").collect()
+    assert sorted((r.id, r.step, r.rule_id, r.mended) for r in audit) == [(2, 0, "A", True), (3, 0, "A", True), (3, 1, "B", True), (4, 0, "A", True), (4, 1, "C", False), (8, 0, "C", False), (9, 0, "B", True)]
+
+
+def test_rule_plan_does_not_grow_with_tenants(spark):
+    def plan(n):
+        rows = [(f"R{i}", f"t{t}", "T", "DATA_QUALITY", "a", f"a > {i}", "FLAG", i, True, None, None) for t in range(n) for i in range(4)]
+        df = spark.range(10).select(F.col("id").alias("a"), F.concat(F.lit("t"), (F.col("id") % 3).cast("string")).alias("tpa"))
+        out, _ = ru.apply_rules(df, spark.createDataFrame(rows, RULE_SCHEMA), "2024-01-01")
+        return out, out._jdf.queryExecution().analyzed().toString().count("CASE WHEN")
+    (few, a), (many, b) = plan(3), plan(1000)
+    assert a == b
+    assert sorted((r.a, r._failed_rules) for r in few.collect()) == sorted((r.a, r._failed_rules) for r in many.collect())
