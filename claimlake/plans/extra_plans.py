@@ -66,7 +66,12 @@ def tfidf_pairs(spark, d):
     return mp.tfidf_scores(b.raw_source_fields(spark, d), defs)
 
 
-@register("dedupe_fuzzy")
+@register("dedupe_fuzzy", oracle=r"""
+with w as (select doc_id, lang, list_distinct(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '')) as s from documents),
+p as (select b.doc_id, min(a.doc_id) as duplicate_of from w a join w b on a.lang is not distinct from b.lang and a.doc_id < b.doc_id
+      where len(a.s) > 0 and len(a.s) >= 0.8 * len(b.s) and len(b.s) >= 0.8 * len(a.s)
+        and len(list_intersect(a.s, b.s)) >= 0.8 * (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))) group by b.doc_id)
+select w.doc_id, w.lang, p.duplicate_of from w left join p on w.doc_id = p.doc_id""")
 def dedupe_fuzzy(spark, d):
     """RUL-4 fuzzy: documents per language, word-set Jaccard >= 0.8."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "text")

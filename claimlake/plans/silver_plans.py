@@ -27,9 +27,12 @@ def _targets() -> list[str]:
     return sorted(cols)
 
 
-def _projection_sql(extra: str = "") -> str:
+def _projection_sql(extra: str = "", typed: bool = False) -> str:
+    def value(t):
+        kind = "decimal(18,2)" if t.endswith("AMOUNT") else "date" if t.endswith("DATE") else None
+        return f"try_cast(v as {kind})" if typed and kind else "v"
     cols = ",\n ".join(
-        f"arg_min(v, mapping_id) filter (where target_column = '{t}' and v is not null) as {t}" for t in _targets())
+        f"arg_min({value(t)}, mapping_id) filter (where target_column = '{t}' and {value(t)} is not null) as {t}" for t in _targets())
     return f"""
 with m as (select * from v_mappings where approved and coalesce(active, true) and target_table = '{TABLE}'),
 kv as (select r.record_id, r.file_name, r.file_row_number, r.tpa, m.target_column, m.mapping_id,
@@ -49,7 +52,7 @@ def bronze_to_silver(spark, d):
     return projection(spark, d)
 
 
-@register("bronze_to_silver_typed")
+@register("bronze_to_silver_typed", views=("v_raw", "v_mappings"), oracle=_projection_sql(typed=True))
 def bronze_to_silver_typed(spark, d):
     return tr.project_mapped(b.raw_rows(spark, d), b.field_mappings(spark, d), TABLE, apply_logic=True,
                              as_of=TRANSFORM_AS_OF)

@@ -1,4 +1,4 @@
-"""Registered streaming plans (BRZ-33, JRN-13): rows-only checks.
+"""Registered streaming plans (BRZ-33, JRN-13).
 
 Each call runs its stream to completion (``availableNow``) in a fresh folder
 under the session's checkpoint directory and returns the resulting table.
@@ -11,7 +11,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from claimlake.operators.merge import read_current
 from claimlake.plans import bindings as b
 from claimlake.plans.registry import register
 from claimlake.session import checkpoint_dir
@@ -22,7 +21,9 @@ def _scratch(spark, name: str) -> str:
     return checkpoint_dir(spark).rstrip("/") + f"/claimlake-{name}-{uuid.uuid4().hex[:12]}"
 
 
-@register("stream_journeys")
+@register("stream_journeys", views=("v_event",), oracle="""
+select journey_id, count(*) as event_count, cast(sum(cost) as decimal(28,2)) as total_cost, count(distinct provider_id) as provider_count,
+ min(event_date) as first_event, max(event_date) as last_event from v_event group by journey_id""")
 def stream_journeys(spark, d):
     base = _scratch(spark, "journeys")
     raw = spark.read.parquet(os.path.join(d, "events.parquet"))
@@ -30,10 +31,11 @@ def stream_journeys(spark, d):
     ev = b.event_rows(spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1)
                       .option("pathGlobFilter", "events.parquet").parquet(d))
     journeys.stream_journey_metrics(spark, ev, base + "/table", base + "/checkpoint")
-    return read_current(spark, base + "/table")
+    return journeys.read_journeys(spark, base + "/table")
 
 
-@register("stream_ingest_counts")
+@register("stream_ingest_counts", views=("v_claim",), oracle="""
+select tpa, count(*) as rows, cast(1 as bigint) as files, 'SUCCESS' as status from v_claim group by tpa""")
 def stream_ingest_counts(spark, d):
     """Claim lines written as landing CSVs (one folder per tenant), then streamed into raw."""
     base = _scratch(spark, "ingest")
@@ -41,5 +43,6 @@ def stream_ingest_counts(spark, d):
     (c.repartition("tpa").write.partitionBy("tpa").option("header", True).mode("overwrite")
       .csv(base + "/landing"))
     ingest.stream_ingest(spark, base + "/landing", base + "/raw", base + "/checkpoint", partition_dirs=True)
-    raw = spark.read.parquet(base + "/raw")
-    return raw.groupBy("tpa").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("file_name").alias("files"))
+    raw = spark.read.parquet(base + "/raw").groupBy("tpa").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("file_name").alias("files"))
+    files = ingest.read_ledger(spark, base + "/raw").groupBy("tpa").agg(F.sum("rows_loaded").alias("rows"), F.count(F.lit(1)).alias("files"), F.max("status").alias("status"))
+    return raw.join(files, ["tpa", "rows", "files"])  # raw rows and ledger agree
