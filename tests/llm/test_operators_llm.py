@@ -75,6 +75,38 @@ def test_html_keeps_articles_in_marked_wrappers_and_after_open_elements():
     assert html_extract.extract("<div class='ad'>" * 20_000 + article, weight) == want
 
 
+def test_html_keeps_all_of_the_article():
+    weight = html_extract.weights({})
+    body = " ".join(f"word{i}" for i in range(60))
+    page = lambda inner: f"<html><body><nav><a href=x>menu</a></nav>{inner}<footer>foot</footer></body></html>"
+    get = lambda inner: html_extract.extract(page(inner), weight)
+    p = f"<p>{body}</p>"
+    for inner, more in ((f"{p}<div class='ad'>Buy</div><p>The end</p>", "\n\nThe end"), (f"{p}<ul><li>main1</li><li>main2</li></ul>", "\n\nmain1\n\nmain2"),
+                        (f"{p}<p><a href=y>All of it here</a></p>", "\n\nAll of it here"), (f"{p}<div><div><div>Fin</div></div></div>", "\n\nFin"),
+                        (f"{p}<p class='social-studies'>On schools</p>", "\n\nOn schools"), (f"{p}<div class='search-theory'>On search</div>", "\n\nOn search"),
+                        (f"{p}<div id='advertisement-free'>Quiet</div>", "\n\nQuiet"), (f"{p}<table><tr><td>a<td>b<tr><td>c</table>", "\n\na b\n\nc"),
+                        (f"{p}<div class='share-box'>Share</div><p class='post-comments'>Reader</p>", "")):
+        for border in ("article", "main"):
+            assert get(f"<{border}>{inner}</{border}>") == body + more, inner
+        assert get(f"<div class='content'>{inner}</div>") == body + more, inner
+    assert get(f"<article><h1>Title</h1><div class=share>Share it</div>{p}</article>") == f"Title\n\n{body}"
+    assert get(f"<div id=story><h1>Title</h1><div class=share>Share it</div>{p}</div>") == f"Title\n\n{body}"
+    assert get(f"<main><article>{p}</article><article><p>Second one</p></article></main>") == f"{body}\n\nSecond one"
+    assert get(f"<main><p>{' '.join(['main'] * 30)}</p></main><div><p>{' '.join(['aside'] * 100)}</p></div>") == " ".join(["main"] * 30)
+
+
+def test_html_drops_readers_comments_marked_up_as_articles():
+    weight = html_extract.weights({})
+    body, said = " ".join(f"word{i}" for i in range(60)), "said a reader " * 40
+    one = f"<article class=comment><p>{said}</p></article>"
+    for page in (f"<article><p>{body}</p><section class=comments>{one}{one}</section></article>", f"<main><article><p>{body}</p></article>{one}{one}</main>",
+                 f"<article><p>{body}</p><section id=comments><article><p>{said}</p></article><article><p>{said}</p></article></section></article>",
+                 f"<article><p>{body}</p></article><section id=comments><article><p>{said}</p></article></section>",
+                 f"<main><p>{body}</p><div class='post-comments'><article><p>{said}</p><article><p>{said}</p></article></article></div></main>"):
+        assert html_extract.extract(f"<html><body>{page}</body></html>", weight) == body, page
+    assert html_extract.extract(f"<body><article class='promo'><p>{body}</p></article></body>", weight) == body  # the only article there is
+
+
 # 2
 def test_decontamination_by_brute_force(spark):
     rng = random.Random(5)
