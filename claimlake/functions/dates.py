@@ -23,13 +23,18 @@ def _ntz(c) -> Column:
     return _col(c).cast("timestamp_ntz")
 
 
+# Spellings of date parts.
+UNITS = {"year": ("year", "years", "yy", "yyyy"), "quarter": ("quarter", "quarters", "qq", "q"), "month": ("month", "months", "mm"), "day": ("day", "days", "dd", "d"),
+         "hour": ("hour", "hours", "hh"), "minute": ("minute", "minutes", "mi"), "second": ("second", "seconds", "ss", "s"), "millisecond": ("millisecond", "milliseconds", "ms")}
+
+
 def boundary_diff(unit: str, start, end) -> Column:
     """Number of ``unit`` boundaries crossed going from ``start`` to ``end``."""
     u = unit.lower()
     a, b = _col(start), _col(end)
     if u in ("year", "years", "yy", "yyyy"):
         return (F.year(b) - F.year(a)).cast("bigint")
-    if u in ("quarter", "quarters"):
+    if u in UNITS["quarter"]:
         return ((F.year(b) * 4 + F.quarter(b)) - (F.year(a) * 4 + F.quarter(a))).cast("bigint")
     if u in ("month", "months", "mm"):
         return ((F.year(b) * 12 + F.month(b)) - (F.year(a) * 12 + F.month(a))).cast("bigint")
@@ -53,21 +58,19 @@ def boundary_diff(unit: str, start, end) -> Column:
 
 def boundary_diff_sql(unit: str, start: str, end: str) -> str:
     """Spark SQL text of :func:`boundary_diff` (used by the rule text shim)."""
-    u = unit.lower()
-    if u.startswith("year"):
+    u = next((name for name, spellings in UNITS.items() if unit.strip().lower() in spellings), None)
+    if u == "year":
         return f"CAST(year({end}) - year({start}) AS BIGINT)"
-    if u.startswith("month"):
-        return f"CAST((year({end})*12+month({end})) - (year({start})*12+month({start})) AS BIGINT)"
-    if u.startswith("day"):
+    if u in ("quarter", "month"):
+        n = 4 if u == "quarter" else 12
+        return f"CAST((year({end})*{n}+{u}({end})) - (year({start})*{n}+{u}({start})) AS BIGINT)"
+    if u == "day":
         return f"CAST(datediff(to_date({end}), to_date({start})) AS BIGINT)"
-    for name, part in (("hour", "HOUR"), ("minute", "MINUTE"), ("second", "SECOND")):
-        if u.startswith(name):
-            return (f"CAST(timestampdiff({part}, date_trunc('{part}', CAST({start} AS TIMESTAMP_NTZ)), "
-                    f"date_trunc('{part}', CAST({end} AS TIMESTAMP_NTZ))) AS BIGINT)")
-    if u.startswith("millisecond") or u == "ms":
-        return (f"CAST(timestampdiff(MILLISECOND, date_trunc('MILLISECOND', CAST({start} AS TIMESTAMP_NTZ)), "
-                f"date_trunc('MILLISECOND', CAST({end} AS TIMESTAMP_NTZ))) AS BIGINT)")
-    raise ValueError(f"unsupported unit {unit!r}")
+    if u is None:
+        raise ValueError(f"unsupported unit {unit!r}")
+    part = u.upper()
+    return (f"CAST(timestampdiff({part}, date_trunc('{part}', CAST({start} AS TIMESTAMP_NTZ)), "
+            f"date_trunc('{part}', CAST({end} AS TIMESTAMP_NTZ))) AS BIGINT)")
 
 
 def age_years(dob, as_of) -> Column:

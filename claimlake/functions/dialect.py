@@ -97,9 +97,11 @@ def to_spark_sql(text: str, as_of=None) -> str:
         else:
             d = _dt.date.fromisoformat(str(as_of)[:10]).isoformat()
             ts = d + " 00:00:00"
-        s = re.sub(r"\bCURRENT_DATE\s*(\(\s*\))?", f"DATE'{d}'", s, flags=re.IGNORECASE)
-        s = re.sub(r"\b(CURRENT_TIMESTAMP|SYSDATE|GETDATE)\s*(\(\s*\))?", f"TIMESTAMP_NTZ'{ts}'", s,
-                   flags=re.IGNORECASE)
+        parts = re.split(r"('(?:[^']|'')*')", s)  # odd items are string literals
+        for i in range(0, len(parts), 2):
+            parts[i] = re.sub(r"\bCURRENT_DATE\b\s*(\(\s*\))?", f"DATE'{d}'", parts[i], flags=re.IGNORECASE)
+            parts[i] = re.sub(r"\b(CURRENT_TIMESTAMP|SYSDATE|GETDATE)\b\s*(\(\s*\))?", f"TIMESTAMP_NTZ'{ts}'", parts[i], flags=re.IGNORECASE)
+        s = "".join(parts)
     # innermost-first rewriting of the known calls
     while True:
         m = None

@@ -311,6 +311,30 @@ def cascade_rename(tables: dict[str, DataFrame], old: str, new: str, col: str =
     return out
 
 
+def rename_tenant(store, old: str, new: str, batch_id: str, col: str = "tpa", master_key: str = "tpa_code") -> bool:
+    """BRZ-29 over every table of a table set, switched by one manifest.
+
+    Refused (ValueError) when the tenant list has ``new`` or any table holds rows of it: two tenants would run together.  A
+    table without rows of ``old`` keeps its files.  False when the batch had been committed before.
+    """
+    def build(batch):
+        plan = []
+        for name in sorted(batch.tables):
+            df = batch.read(name)
+            c = master_key if master_key in df.columns else col if col in df.columns else None
+            if c is None:
+                continue
+            # two numbers per table
+            hit = df.agg(F.count_if(F.col(c) == old).alias("old"), F.count_if(F.col(c) == new).alias("new")).first()
+            if hit["new"]:
+                raise ValueError(f"{name} has rows of tenant {new}")
+            if hit["old"]:
+                plan.append((name, df))
+        for name, df in plan:
+            batch.rewrite(name, cascade_rename({name: df}, old, new, col, master_key)[name])
+    return store.run(batch_id, build)
+
+
 def rename_conflicts(master: DataFrame, new: str, key: str = "tpa_code") -> DataFrame:
     return master.filter(F.col(key) == new)
 

@@ -49,6 +49,7 @@ def dq_metrics(df: DataFrame, keys: list[str], load_ts: str | None, as_of, batch
                  hours.alias("_hv"), fresh_ok.alias("_hok"),
                  (n_pass.cast("double") / n_total.cast("double") * 100).alias("_sv"),
                  n_pass.alias("_np"), n_total.alias("_nt"))
+    # The description texts of stored metrics.
     score_text = F.concat(F.lit("Overall data quality score: "), F.col("_np").cast("string"), F.lit(" of "),
                           F.col("_nt").cast("string"), F.lit(" checks passed"))
     entries = [

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import uuid
 
 from pyspark.sql import functions as F
 
 from claimlake.operators import bronze as br
+from claimlake.operators.store import TableSet
 from claimlake.plans import bindings as b
 from claimlake.plans.registry import register
+from claimlake.session import checkpoint_dir
 from claimlake.sources.tables import table
 
 QUEUE_AS_OF = _dt.datetime(2001, 8, 2, 0, 0, 0)
@@ -283,14 +287,29 @@ def unregistered_rows(spark, d):
     return br.split_by_registered(b.queue(spark, d), b.tpa_master(spark, d))[1]
 
 
-@register("tpa_rename", views=("v_queue",), oracle="""
-select queue_id, case when tpa = 'asia' then 'asia_pacific' else tpa end as tpa, file_name from v_queue""")
+# (table, key of a row): the tables that carry the tenant code
+RENAMED = {"raw": "get_json_object(raw_data, '$.CLAIM_ID')", "queue": "cast(queue_id as string)", "mappings": "cast(mapping_id as string)",
+           "rules": "concat(rule_id, '@', target_table)", "file_log": "concat(stage, ':', file_name)", "tenants": "tpa_name"}
+
+
+@register("tpa_rename", views=("v_raw", "v_queue", "v_mappings", "v_file_log", "v_tpa", "v_claim"), oracle=f"""
+select table_name, case when tpa = 'asia' then 'asia_pacific' else tpa end as tpa, row_key from (
+ select 'raw' as table_name, tpa, json_extract_string(raw_data, '$.CLAIM_ID') as row_key from v_raw
+ union all select 'queue', tpa, cast(queue_id as varchar) from v_queue
+ union all select 'mappings', tpa, cast(mapping_id as varchar) from v_mappings
+ union all select 'rules', tpa, concat(r, '@', t) from (select distinct tpa, concat(claim_type, '_CLAIMS') as t from v_claim) c
+   cross join (select unnest([{", ".join(repr(r[0]) for r in b.RULES)}]) as r) x
+ union all select 'file_log', tpa, concat(stage, ':', file_name) from v_file_log
+ union all select 'tenants', tpa_code, tpa_name from v_tpa)""")
 def tpa_rename(spark, d):
-    m = b.tpa_master(spark, d)
-    if br.rename_conflicts(m, "asia_pacific").limit(1).count():
-        raise ValueError("tenant asia_pacific exists")
-    out = br.cascade_rename({"queue": b.queue(spark, d).select("queue_id", "tpa", "file_name")}, "asia", "asia_pacific")
-    return out["queue"]
+    """A tenant's code changed in all tables by one commit; every row of every table, as read back."""
+    store = TableSet(spark, f"{checkpoint_dir(spark).rstrip('/')}/rename-{uuid.uuid4().hex}")
+    tables = {"raw": b.raw_rows(spark, d, with_ids=False), "queue": b.queue(spark, d), "mappings": b.field_mappings(spark, d), "rules": b.silver_rules(spark, d),
+              "file_log": b.file_log(spark, d), "tenants": b.tpa_master(spark, d)}
+    store.run("load", lambda batch: [batch.append(n, df) for n, df in tables.items()])
+    br.rename_tenant(store, "asia", "asia_pacific", "rename")
+    rows = [store.read(n).select(F.lit(n).alias("table_name"), F.col("tpa_code" if n == "tenants" else "tpa").alias("tpa"), F.expr(key).alias("row_key")) for n, key in RENAMED.items()]
+    return functools.reduce(lambda x, y: x.unionByName(y), rows)
 
 
 @register("tpa_delete_counts", views=("v_raw", "v_queue", "v_member"), oracle="""

@@ -181,12 +181,12 @@ def business_metrics(spark, d):
 
 @register("metric_catalog", views=("v_claim", "v_member", "v_provider"), oracle=METRICS_SQL + """
 select metric_category, count(*) as metrics, count(*) as active_metrics, 0 as inactive_metrics,
- sum(metric_value) as category_value_total
+ count(metric_value) as metrics_with_value
 from vals group by metric_category""")
 def metric_catalog(spark, d):
     cat = gr.metric_catalog(gr.catalog_df(spark, "metrics"))
     vals = gr.evaluate_metrics(spark, gr.catalog_df(spark, "metrics"), _metric_views(spark, d), b.CLAIMS_AS_OF)
-    tot = vals.groupBy("metric_category").agg(F.sum("metric_value").alias("category_value_total"))
+    tot = vals.groupBy("metric_category").agg(F.count("metric_value").alias("metrics_with_value"))
     return cat.join(tot, "metric_category", "left")
 
 
@@ -255,3 +255,17 @@ def gold_processing_summary(spark, d):
         "status", F.col("run_id").alias("records_processed"),
         boundary_diff("second", "start_time", "end_time").alias("duration_seconds"), F.col("end_time"))
     return gr.gold_processing_summary(log)
+
+
+@register("gold_field_counts", views=("v_defs",), oracle="""
+select table_name, 'ALL' as tpa, 'observed' as description, count(*) as fields, count(*) filter (where nullable = 'Y') as nullable_fields
+from v_defs group by table_name""")
+def gold_field_counts(spark, d):
+    """GLD-1: the observed tables registered over an older, shorter registry of one of them; fields per registered table."""
+    defs = b.target_schemas(spark, d).select("table_name", F.lit("ALL").alias("tpa"), F.col("column_name").alias("field_name"), "data_type", "nullable")
+    old = defs.filter("table_name = 'MEDICAL_CLAIMS' and field_name like '%AMOUNT'").withColumn("field_name", F.concat("field_name", F.lit("_OLD")))
+    entity = defs.select("table_name", "tpa").distinct()
+    schemas, fields = gr.register_entity(entity.filter("table_name = 'MEDICAL_CLAIMS'").withColumn("description", F.lit("old")), old,
+                                         entity.withColumn("description", F.lit("observed")), defs)
+    return schemas.join(fields, ["table_name", "tpa"]).groupBy("table_name", "tpa", "description").agg(
+        F.count(F.lit(1)).alias("fields"), F.count_if(F.col("nullable") == "Y").alias("nullable_fields"))
