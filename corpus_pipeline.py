@@ -4,6 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 every stage's rows as Parquet in the shared folder and reads them again for
 the next one, so a lost executor repeats no earlier stage.  All stages but the last
 return the columns they got.
+
+Nulls in any column, empty and very long texts, ties and repeated rows, empty
+tables and extra columns are taken by every stage as its docstring says; a null
+text is an empty one, and no stage fails on an empty table.
 """
 
 from __future__ import annotations
@@ -16,29 +20,40 @@ from claimlake.llm.queries import tokenizer_path
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
+    """Documents that the quality classifier rejects go.
+
+    A null or empty text has a score like any other; repeated rows share one, so all of them stay or go.  Labels of unknown
+    documents are not used; without both labels nothing is preferred and the score is that of the label there is.
+    """
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (5-word shingles, Jaccard 0.75) one document stays."""
+    """Of each group of near-duplicates (5-word shingles, Jaccard 0.75) one document stays: the one with the smallest
+    doc_id (a null one only if there is no other), of repeated rows one.  Documents without words are like no other and stay."""
     return jaccard_join.one_of_each(docs)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go. Null and empty texts hold none; an empty benchmark removes nothing."""
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in the target proportions: a document stands as often as the mix takes it."""
+    """Sources in the target proportions: a document stands as often as the mix takes it.
+
+    A null source is a source of its own; documents without words have size 0 and are not taken; repeated rows are drawn each for itself.
+    """
     # the whole row travels as one column, so that no extra column can clash with the mix's own
     rows = docs.select("doc_id", "source", mixing.word_count().alias("size"), F.struct(*docs.columns).alias("__row"))
     return mixing.emit(mixing.mix(rows)).select("__row.*")
 
 
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids as binary records; one row per record, as read back."""
+    """Token ids as binary records; one row per record, as read back.
+
+    Null doc_ids come first, equal ones in the order of their texts; a null or empty text is the end id alone.
+    """
     path = common.work_path(spark, "corpus")
     binary_out.write_records(docs, path, tokenizer_path())
     index = binary_out.with_start(binary_out.read_index(spark, path))
