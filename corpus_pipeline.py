@@ -42,7 +42,8 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in the target proportions: a document stands as often as the mix takes it.
 
-    A null source is a source of its own; documents without words have size 0 and are not taken; repeated rows are drawn each for itself.
+    A null source is a source of its own; documents without words take part and add none; a source without words
+    is not taken; repeated rows are drawn each for itself.
     """
     # the whole row travels as one column, so that no extra column can clash with the mix's own
     rows = docs.select("doc_id", "source", mixing.word_count().alias("size"), F.struct(*docs.columns).alias("__row"))
