@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from claimlake.operators import rules as ru
 from claimlake.operators import transform as tr
 from claimlake.plans import bindings as b
+from claimlake.plans.quality_plans import METRICS_SQL
 from claimlake.plans.quality_plans import metrics as dq_metrics_df
 from claimlake.plans.registry import register
 from claimlake.sources.tables import table
@@ -111,7 +112,12 @@ def silver_page(spark, d):
     return tr.silver_page(tr.with_lineage(projection(spark, d), "B1", TRANSFORM_AS_OF), 100)
 
 
-@register("silver_stats")
+@register("silver_stats", views=("v_raw", "v_mappings"), oracle=METRICS_SQL + f""",
+last as (select * from metrics where target_table = '{TABLE}' and tpa = 'asia' order by measured_timestamp desc, batch_id desc, metric_name limit 20)
+select count(*) as checks, count(*) filter (where passed) as passed_checks, max(measured_timestamp) as last_check,
+ (select count(*) from v_raw where tpa in (select tpa from v_mappings where approved and coalesce(active, true) and target_table = '{TABLE}')) as row_count,
+ case when count(*) > 0 then round(cast(count(*) filter (where passed) as double) * 100 / cast(count(*) as double), 1) end as quality_score
+from last""")
 def silver_stats(spark, d):
     return tr.silver_stats(projection(spark, d), dq_metrics_df(spark, d), TABLE, "asia", 20)
 
