@@ -113,7 +113,8 @@ def silver_page(spark, d):
 
 
 @register("silver_stats", views=("v_raw", "v_mappings"), oracle=METRICS_SQL + f""",
-last as (select * from metrics where target_table = '{TABLE}' and tpa = 'asia' order by measured_timestamp desc, batch_id desc, metric_name limit 20)
+last as (select * from metrics where target_table = '{TABLE}' and tpa = 'asia'
+         qualify row_number() over (order by measured_timestamp desc, batch_id desc, metric_name) <= 20)
 select count(*) as checks, count(*) filter (where passed) as passed_checks, max(measured_timestamp) as last_check,
  (select count(*) from v_raw where tpa in (select tpa from v_mappings where approved and coalesce(active, true) and target_table = '{TABLE}')) as row_count,
  case when count(*) > 0 then round(cast(count(*) filter (where passed) as double) * 100 / cast(count(*) as double), 1) end as quality_score
