@@ -1,4 +1,4 @@
-"""Registered streaming plans (BRZ-33, JRN-13).
+"""Registered plans over files and streams (SRC-1..3, BRZ-5, BRZ-8, BRZ-33, JRN-13).
 
 Each call runs its stream to completion (``availableNow``) in a fresh folder
 under the session's checkpoint directory and returns the resulting table.
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from claimlake.plans import bindings as b
 from claimlake.plans.registry import register
 from claimlake.session import checkpoint_dir
+from claimlake.sources import landing
+from claimlake.sources.tables import table
 from claimlake.streaming import ingest, journeys
 
 
@@ -46,3 +48,39 @@ def stream_ingest_counts(spark, d):
     raw = spark.read.parquet(base + "/raw").groupBy("tpa").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("file_name").alias("files"))
     files = ingest.read_ledger(spark, base + "/raw").groupBy("tpa").agg(F.sum("rows_loaded").alias("rows"), F.count(F.lit(1)).alias("files"), F.max("status").alias("status"))
     return raw.join(files, ["tpa", "rows", "files"])  # raw rows and ledger agree
+
+
+def _landed_documents(spark, d, base: str) -> str:
+    """All documents as landing CSVs: a folder per source, plain files and gzip ones, cells over many lines, two header layouts."""
+    c = table(spark, d, "documents").select(F.coalesce("source", F.lit("none")).alias("folder"), F.col("doc_id").alias("DOC_ID"), "lang",
+                                            F.col("text").alias("FULL TEXT"), F.col("n_chars").cast("string").alias("n_chars"))
+    csv = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    even = F.pmod(F.col("DOC_ID"), F.lit(2)) == 0
+    c.filter(even).write.partitionBy("folder").options(**csv).csv(base + "/landing/a")
+    c.filter(~even).select("FULL TEXT", "DOC_ID", F.col("lang").alias("LANGUAGE"), "folder").write.partitionBy("folder").options(compression="gzip", quoteAll=True, **csv).csv(base + "/landing/b")
+    return base + "/landing"
+
+
+@register("landing_rows", oracle=r"""
+select case when doc_id % 2 = 0 then 'a' else 'b' end as tpa, coalesce(source, 'none') as folder, cast(doc_id as varchar) as doc_id,
+ nullif(lang, '') as lang, nullif(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '') as text, true as dense,
+ case when doc_id % 2 = 0 then '["DOC_ID","lang","FULL TEXT","n_chars"]' else '["FULL TEXT","DOC_ID","LANGUAGE"]' end as keys
+from documents""")
+def landing_rows(spark, d):
+    """Documents written as CSV files of two layouts and read back; ``dense``: the file's rows are numbered 1 to their count."""
+    root = _landed_documents(spark, d, _scratch(spark, "landed"))
+    rows = landing.read_landing_csv(spark, root)
+    files = rows.groupBy("file_name").agg((F.max("file_row_number") == F.count(F.lit(1))).alias("_full"), (F.min("file_row_number") == 1).alias("_one"),
+                                          (F.sum("file_row_number") * 2 == F.count(F.lit(1)) * (F.count(F.lit(1)) + 1)).alias("_sum"))
+    get = lambda *keys: F.coalesce(*[F.from_json("raw_data", "map<string,string>")[k] for k in keys])
+    return rows.join(files, "file_name").select("tpa", F.regexp_extract("file_name", "folder=([^/]*)/", 1).alias("folder"), get("DOC_ID").alias("doc_id"), get("lang", "LANGUAGE").alias("lang"),
+                                                get("FULL TEXT").alias("text"), (F.col("_full") & F.col("_one") & F.col("_sum")).alias("dense"),
+                                                F.to_json(F.json_object_keys("raw_data")).alias("keys"))
+
+
+@register("landing_outcomes", oracle="""
+select case when doc_id % 2 = 0 then 'a' else 'b' end as tpa, cast(count(*) as bigint) as rows_read, cast(0 as bigint) as uneven, 'SUCCESS' as status
+from documents group by 1""")
+def landing_outcomes(spark, d):
+    files = landing.landing_outcomes(spark, _landed_documents(spark, d, _scratch(spark, "outcomes")))
+    return files.groupBy("tpa").agg(F.sum("rows_read").alias("rows_read"), F.sum(F.col("short_rows") + F.col("long_rows")).alias("uneven"), F.max(F.split_part("result", F.lit(":"), F.lit(1))).alias("status"))

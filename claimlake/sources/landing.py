@@ -1,15 +1,17 @@
 """Landing-folder scans: CSV files with their own headers (plain or gzip,
 UTF-8 with Latin-1 fallback), stage listings and positional loads.
 
-A single multi-file CSV read binds every file to the first file's header, so
-files are grouped by (header line, encoding) first -- one small row per file
--- and each group is read by one CSV scan with an all-string schema, which
-keeps leading zeros and decimal text exactly as landed.
+A multi-file CSV read binds every file to the first file's header, so the
+files are read as lines instead, once, into a table; each line meets one small
+row per split of its file (header, encoding, lines before) by a join and is
+cut into cells by an expression.  All cells stay text, which keeps leading
+zeros and decimal text exactly as landed.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from claimlake.functions.text import file_type
+from claimlake.session import checkpoint_dir
+
 
 def _decoded(uri):
     """A ``_metadata.file_path`` without its percent codes, as readers take it."""
@@ -46,28 +50,130 @@ def list_landing(spark: SparkSession, root: str) -> DataFrame:
                      F.col("modificationTime").cast("timestamp_ntz").alias("modification_time"))
 
 
-def file_headers(spark: SparkSession, root: str, pattern: str = "(?i).*\\.csv(\\.gz)?$",
-                 paths: list[str] | None = None) -> DataFrame:
-    """One row per CSV file: path, header line, encoding.
+# A cell: quoted (doubled quotes inside, anything up to the comma after it), or unclosed to the end, bare, or empty.
+# Possessive throughout, so that long cells and wide lines need no backtracking.
+_QUOTED = r'"(?:[^"]++|"")*+'
+_CELL = r'(?:' + _QUOTED + r'(?:"[^,]*+|\z)|[^",][^,]*+|)'
+_OPENS = r'(?:' + _CELL + r',)*+' + _QUOTED + r'\z'
+_WHOLE = r'\A"((?:[^"]++|"")*+)"?\z'
+
+
+def land_lines(spark: SparkSession, root: str, pattern: str = "(?i).*\\.csv(\\.gz)?$", paths: list[str] | None = None,
+               work: str | None = None) -> DataFrame:
+    """The lines of every CSV file, read once and kept as a table in ``work`` (by default a fresh shared folder).
 
-    The files are read once as lines (gzip is unpacked by Spark); a file is
-    ISO-8859-1 as soon as one of its lines is not valid UTF-8.  The header is
-    the first line, whatever its length.
+    A line keeps its file, its split and its place there, so that all later
+    steps agree on them however often a task is repeated, and two marks that
+    say where it leaves a reader who starts it outside (``open``) or inside
+    (``inside``) a quoted cell: whether such a cell is still open at its end.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]*")
-    lines = (reader.text(paths) if paths else reader.text(root.rstrip("/")))
-    lines = lines.select(_decoded(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
-    lines = lines.filter(F.col("path").rlike(pattern)).withColumn("i", F.monotonically_increasing_id())
-    heads = lines.groupBy("path").agg(F.min_by("value", F.when(F.col("at") == 0, F.col("i"))).alias("header"),
-                                      F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
-    latin = F.decode(F.col("header").cast("binary"), "ISO-8859-1")
-    return heads.select("path", F.when(F.col("utf8"), F.regexp_replace("header", "^\ufeff", "")).otherwise(latin).alias("header"),
-                        F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1").alias("encoding"))
+    lines = reader.text(paths) if paths else reader.text(root.rstrip("/"))
+    v = F.col("value")
+    lines = (lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+                  .filter(_decoded(F.col("path")).rlike(pattern)).withColumn("id", F.monotonically_increasing_id()))
+    lines = lines.select("path", "at", "id", v.cast("binary").alias("line"), F.is_valid_utf8(v).alias("utf8"), (F.length(F.trim(v)) == 0).alias("blank"),
+                         v.rlike(r"\A" + _OPENS).cast("int").alias("open"),
+                         v.rlike(r'\A(?:[^"]++|"")*+(?:\z|"[^,]*+,' + _OPENS + ")").cast("int").alias("inside"))
+    work = work or checkpoint_dir(spark).rstrip("/") + f"/landing-lines-{uuid.uuid4().hex}"
+    lines.write.parquet(work)
+    return spark.read.schema(lines.schema).parquet(work)
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """One row per split of a file: its lines, those of earlier splits, and what the file as a whole is like."""
+    head = F.when(~F.col("blank"), F.col("id"))
+    splits = lines.groupBy("path", "at").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.max("open").alias("opens"),
+                                             F.max("blank").alias("blanks"), F.bool_and("utf8").alias("utf8"), F.min_by("line", head).alias("head"))
+    whole, earlier = Window.partitionBy("path"), Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select("path", "at", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+                         F.bool_and("utf8").over(whole).alias("utf8"), F.min_by("head", F.when(F.col("head").isNotNull(), F.col("at"))).over(whole).alias("head"),
+                         ((F.max("opens").over(whole) == 0) & ~F.max("blanks").over(whole)).alias("plain"))
 
 
-def _split_header(header: str) -> list[str]:
-    import csv
-    return unique_names(next(csv.reader([header]), []))
+def _text(line, utf8):
+    """A line of a file: UTF-8, or ISO-8859-1 as soon as one line of the file is not valid UTF-8."""
+    return F.when(utf8, line.cast("string")).otherwise(F.decode(line, "ISO-8859-1"))
+
+
+def _followed(df: DataFrame, by: list[str], order: str) -> DataFrame:
+    """``after0``, ``after1``: whether a cell is open after the row, for a reader who enters its group outside or inside one.
+
+    A row keeps, turns or sets that state: it is the value that the last
+    setting row left, turned as often as rows after it turn it.
+    """
+    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    turns = F.sum(F.when((F.col("open") == 1) & (F.col("inside") == 0), 1).otherwise(0)).over(w)
+    df = df.withColumn("_turns", turns)
+    df = df.withColumn("_set", F.last(F.when(F.col("open") == F.col("inside"), F.col("open") - F.col("_turns")), True).over(w))
+    after = lambda entry: F.pmod(F.col("_turns") + F.coalesce("_set", F.lit(entry)), F.lit(2)).cast("int")
+    return df.withColumn("after0", after(0)).withColumn("after1", after(1)).drop("_turns", "_set")
+
+
+def _joined_records(lines: DataFrame) -> DataFrame:
+    """(path, number, text) of files with cells over several lines or with blank lines; the header is number 1.
+
+    Work is dealt by split.  A quote that is never closed would take in the
+    rest of its file: the lines after the one that opens it stay records of their own.
+    """
+    rows = _followed(lines, ["path", "at"], "id")
+    splits = rows.groupBy("path", "at").agg(F.max_by("after0", "id").alias("open"), F.max_by("after1", "id").alias("inside"))
+    along = Window.partitionBy("path").orderBy("at")
+    splits = _followed(splits, ["path"], "at").select("path", "at", F.lag("after0", 1, 0).over(along).alias("entry"),
+                                                      F.last("after0").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("unclosed"))
+    w = Window.partitionBy("path", "at").orderBy("id")
+    rows = rows.join(splits, ["path", "at"])
+    rows = rows.withColumn("_out", F.when(F.col("entry") == 0, F.col("after0")).otherwise(F.col("after1")))
+    rows = rows.withColumn("_in", F.coalesce(F.lag("_out").over(w), "entry"))
+    rows = rows.filter(~F.col("blank") | (F.col("_in") == 1)).withColumn("_start", F.when(F.col("_in") == 0, 1).otherwise(0))
+    starts = rows.groupBy("path", "at").agg(F.sum("_start").alias("_n"), F.max(F.when(F.col("_start") == 1, F.col("place"))).alias("_last"))
+    whole = Window.partitionBy("path")
+    starts = starts.select("path", "at", F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                           F.sum("_n").over(whole).alias("_all"), F.max("_last").over(whole).alias("_last"))
+    rows = rows.withColumn("_number", F.sum("_start").over(w.rowsBetween(Window.unboundedPreceding, 0))).join(starts, ["path", "at"])
+    tail = (F.col("unclosed") == 1) & (F.col("place") > F.col("_last"))
+    number = F.when(tail, F.col("_all") + F.col("place") - F.col("_last")).otherwise(F.col("_before") + F.col("_number"))
+    rows = rows.filter(~(tail & F.col("blank")))
+    piece = F.struct("at", "id", _text(F.col("line"), F.col("utf8_file")).alias("text"))
+    return (rows.groupBy("path", number.alias("number"))
+                .agg(F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda x: x["text"]), "\n").alias("text")))
+
+
+def _cells(text):
+    def plain(c):
+        return F.when(c.startswith('"') & c.rlike(_WHOLE), F.replace(F.regexp_extract(c, _WHOLE, 1), F.lit('""'), F.lit('"'))).otherwise(c)
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(",(" + _CELL + ")"), 1), plain)
+
+
+def _names(header):
+    """Header cells as keys: trimmed, an empty one by its position, a repeated one with a number."""
+    names = F.transform(_cells(F.regexp_replace(header, "^\ufeff", "")), lambda c, i: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.concat(F.lit("_c"), i)))
+
+    def numbered(a, mark):
+        again = lambda n, i: F.size(F.filter(F.slice(a, F.lit(1), i), lambda x: x == n))
+        one = F.transform(a, lambda n, i: F.when(again(n, i) > 0, F.concat(n, F.lit(mark), again(n, i))).otherwise(n))
+        return F.when(F.size(F.array_distinct(a)) < F.size(a), one).otherwise(a)
+    return names, numbered
+
+
+def landing_records(lines: DataFrame) -> DataFrame:
+    """(path, number, cells, names) of the data records of ``land_lines``: number is 1-based; the header is no record.
+
+    Lines meet one small row per split of their file.  Only files with a cell
+    over several lines, or with blank lines, take the longer way.
+    """
+    splits = _splits(lines)
+    known = lines.drop("utf8").join(splits.withColumnRenamed("utf8", "utf8_file"), ["path", "at"])
+    place = F.col("id") - F.col("first") + F.col("before")
+    records = known.filter("plain").filter(place > 0).select("path", place.alias("number"), _text(F.col("line"), F.col("utf8_file")).alias("text"),
+                                                            _text(F.col("head"), F.col("utf8_file")).alias("header"))
+    if not splits.filter(~F.col("plain")).isEmpty():
+        joined = _joined_records(known.filter(~F.col("plain")).withColumn("place", place))
+        heads = joined.filter("number = 1").select("path", F.col("text").alias("header"))
+        records = records.unionByName(joined.filter("number > 1").withColumn("number", F.col("number") - 1).join(heads, "path"))
+    names, numbered = _names(F.col("header"))
+    return (records.select("path", F.col("number").cast("bigint"), _cells(F.col("text")).alias("cells"), names.alias("names"))
+                   .withColumn("names", numbered(F.col("names"), "_")).withColumn("names", numbered(F.col("names"), "_again")))
 
 
 def unique_names(row: list[str]) -> list[str]:
@@ -84,54 +190,55 @@ def unique_names(row: list[str]) -> list[str]:
     return names
 
 
-def read_landing_csv(spark: SparkSession, root: str, multi_line: bool = True, mode: str = "PERMISSIVE",
-                     paths: list[str] | None = None, partition_dirs: bool = False) -> DataFrame:
+def _tenant(rel, partition_dirs: bool):
+    tpa = F.when(F.instr(rel, "/") > 0, F.split_part(rel, F.lit("/"), F.lit(1)))
+    return F.regexp_replace(tpa, "^[^=/]+=", "") if partition_dirs else tpa
+
+
+def read_landing_csv(spark: SparkSession, root: str, mode: str = "PERMISSIVE", paths: list[str] | None = None,
+                     partition_dirs: bool = False, work: str | None = None) -> DataFrame:
     """SRC-1/2/3 + BRZ-5: rows of every landing CSV as JSON objects of strings.
 
     Output: tpa (first folder under ``root``; files directly under ``root``
     have none), file_name (relative), file_row_number (1-based, data rows),
     file_type, raw_data.  Empty cells are nulls under their key; key names keep
-    their spelling.  The header collect is one row per distinct
-    (header, encoding) -- bounded by the number of file layouts.  ``paths``
-    limits the scan to given files (streaming micro-batches);
-    ``partition_dirs`` reads ``tpa=x`` folder names as tenant ``x``.
+    their spelling.  The files are read once (``land_lines``); no file name
+    reaches the driver.  Rows with too few cells are filled with nulls and
+    cells beyond the header dropped (PERMISSIVE), such rows go (DROPMALFORMED)
+    or stop the read (FAILFAST).  ``paths`` limits the scan to given files
+    (streaming micro-batches); ``partition_dirs`` reads ``tpa=x`` folder names
+    as tenant ``x``; ``work`` names the folder of the lines.
     """
-    root = root.rstrip("/")
-    heads = file_headers(spark, root, paths=paths)
-    groups = (heads.groupBy("header", "encoding").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-                   .collect())
-    parts = []
-    for g in sorted(groups, key=lambda r: (r["header"], r["encoding"])):
-        cols = _split_header(g["header"])
-        if not cols:
-            continue
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-        df = (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-                   .option("encoding", g["encoding"]).option("mode", mode).option("escape", '"')
-                   .csv(list(g["paths"])))
-        obj = F.to_json(F.struct(*[F.col(f"`{c}`").alias(c) for c in cols]), {"ignoreNullFields": "false"})
-        parts.append(df.select(F.col("_metadata.file_path").alias("path"),
-                               F.col("_metadata.file_block_start").alias("_at"), obj.alias("raw_data"),
-                               F.monotonically_increasing_id().alias("_mono")))
-    if not parts:
-        return spark.createDataFrame([], "tpa string, file_name string, file_row_number long, file_type string, "
-                                         "raw_data string")
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    # A split is read in order by one task, so its rows have increasing ids; the
-    # rows of a file's earlier splits are added (one row per split is summed up).
-    splits = rows.groupBy("path", "_at").agg(F.min("_mono").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("path").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    rows = rows.join(splits.select("path", "_at", "_first", "_before"), ["path", "_at"])
-    rel = below(spark, F.col("path"), root)
-    tpa = F.when(F.instr(rel, "/") > 0, F.split_part(rel, F.lit("/"), F.lit(1)))
-    if partition_dirs:
-        tpa = F.regexp_replace(tpa, "^[^=/]+=", "")
-    return rows.select(tpa.alias("tpa"), rel.alias("file_name"),
-                       (F.col("_mono") - F.col("_first") + 1 + F.col("_before")).alias("file_row_number"),
-                       file_type(rel).alias("file_type"), "raw_data")
+    records = landing_records(land_lines(spark, root, paths=paths, work=work))
+    k, n = F.size("names"), F.size("cells")
+    if mode.upper() == "DROPMALFORMED":
+        records = records.filter(k == n)
+    cells = F.transform(F.slice(F.concat("cells", F.array_repeat(F.lit(None).cast("string"), F.greatest(k - n, F.lit(0)))), F.lit(1), k),
+                        lambda c: F.nullif(c, F.lit("")))
+    if mode.upper() == "FAILFAST":
+        cells = F.when(k == n, cells).otherwise(F.raise_error(F.concat(F.lit("uneven row "), F.col("number"), F.lit(" of "), F.col("path"))).cast("array<string>"))
+    rel = below(spark, F.col("path"), root.rstrip("/"))
+    return records.select(_tenant(rel, partition_dirs).alias("tpa"), rel.alias("file_name"), F.col("number").alias("file_row_number"),
+                          file_type(rel).alias("file_type"), F.to_json(F.map_from_arrays("names", cells), {"ignoreNullFields": "false"}).alias("raw_data"))
+
+
+def landing_outcomes(spark: SparkSession, root: str, partition_dirs: bool = False, work: str | None = None) -> DataFrame:
+    """BRZ-8: one row per CSV file under ``root``, header-only ones too, with what reading it gives.
+
+    (tpa, file_name, size, rows_read, short_rows, long_rows, result): the
+    result text is what the file queue takes.  Files of no bytes are in no
+    listing of Spark's and have no row; a queued file without one was not read.
+    """
+    records = landing_records(land_lines(spark, root, work=work))
+    k, n = F.size("names"), F.size("cells")
+    read = records.groupBy("path").agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(n < k).alias("short_rows"), F.count_if(n > k).alias("long_rows"))
+    read = read.select(below(spark, F.col("path"), root.rstrip("/")).alias("file_name"), "rows_read", "short_rows", "long_rows")
+    files = list_landing(spark, root).filter(F.col("file_name").rlike("(?i).*\\.csv(\\.gz)?$"))
+    j = files.join(read, "file_name", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    result = (F.when(F.col("rows_read").isNull(), F.lit("SUCCESS: no data rows"))
+               .otherwise(F.concat(F.lit("SUCCESS: "), F.col("rows_read"), F.lit(" rows, uneven "), F.col("short_rows") + F.col("long_rows"))))
+    return j.select(_tenant(F.col("file_name"), partition_dirs).alias("tpa"), "file_name", "size", zero("rows_read"), zero("short_rows"), zero("long_rows"), result.alias("result"))
 
 
 def load_csv_as(spark: SparkSession, path: str, schema: T.StructType | str, mode: str = "ABORT",

@@ -54,7 +54,8 @@ def ingest_batch(spark: SparkSession, root: str, raw_path: str, paths: list[str]
     if not new:
         return 0
     name = f"{batch_id}-{uuid.uuid4().hex[:8]}"
-    rows = read_landing_csv(spark, root, paths=sorted(new.values()), partition_dirs=partition_dirs)
+    lines = f"{store.root}-lines-{name}"
+    rows = read_landing_csv(spark, root, paths=sorted(new.values()), partition_dirs=partition_dirs, work=lines)
     rows.write.partitionBy("tpa").parquet(f"{raw_path}/batch_id={name}")  # prepared
 
     def commit(b) -> None:
@@ -64,6 +65,7 @@ def ingest_batch(spark: SparkSession, root: str, raw_path: str, paths: list[str]
         b.upsert("files", files.select("file_name", "tpa", F.lit(name).alias("batch_id"), F.when(F.col("n").isNull(), "EMPTY").otherwise("SUCCESS").alias("status"),
                                        F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_loaded")), ["file_name"], LEDGER_BUCKETS)
     store.run(name, commit)
+    store._delete(lines)
     return len(new)
 
 

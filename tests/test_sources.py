@@ -106,7 +106,7 @@ def test_landing_names_wide_header_and_split_files(spark, tmp_path):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
     try:
-        rows = [x for x in landing.read_landing_csv(spark, str(root), multi_line=False).collect() if "long" in x.file_name]
+        rows = [x for x in landing.read_landing_csv(spark, str(root)).collect() if "long" in x.file_name]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(x.file_row_number for x in rows) == list(range(1, 30001))
@@ -120,3 +120,61 @@ def test_excel_keeps_every_cell(spark, tmp_path):
     rows = sorted(excel.read_landing_excel(spark, str(tmp_path)).collect(), key=lambda r: r.file_row_number)
     assert [json.loads(r.raw_data) for r in rows] == [{"A": "1", "A_1": "2", "_c2": "3", "_c3": "4"}, {"A": None, "A_1": "x", "_c2": None, "_c3": None}]
     assert rows[0].tpa == "t 1" and rows[0].file_name == "t 1/b.xlsx"
+
+
+def _as_landed(root, files):
+    for name, data in files.items():
+        p = root / name
+        p.parent.mkdir(parents=True, exist_ok=True)
+        if name.endswith(".gz"):
+            with gzip.open(p, "wb") as fh:
+                fh.write(data)
+        else:
+            p.write_bytes(data)
+
+
+def test_landing_records_across_lines_and_splits(spark, tmp_path):
+    """Cells over many lines and splits, against Python's reader of whole files."""
+    import csv
+    import io
+    import random
+    rng = random.Random(5)
+    bits = ["a", "", "x,y", 'say "hi"', "two\nlines", "\n\n", '"', ",", "é", " lead", "long " * 40 + "\n" + "tail" * 30]
+    rows = [[str(i), *(rng.choice(bits) for _ in range(3))] for i in range(3000)]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows([["ID", "A", "A", ""], *rows])
+    _as_landed(tmp_path, {"t/multi.csv": out.getvalue().encode(), "t/gz.csv.gz": out.getvalue().encode(),
+                          "t/plain.csv": b"ID,A\n" + b"".join(b"%d,v\n" % i for i in range(20000))})
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        got = landing.read_landing_csv(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    for name in ("t/multi.csv", "t/gz.csv.gz"):
+        mine = sorted((r for r in got if r.file_name == name), key=lambda r: r.file_row_number)
+        assert [r.file_row_number for r in mine] == list(range(1, 3001))
+        assert [list(json.loads(r.raw_data).items()) for r in mine] == [list(zip(["ID", "A", "A_1", "_c3"], [c or None for c in row])) for row in rows]
+    assert sorted(r.file_row_number for r in got if r.file_name == "t/plain.csv") == list(range(1, 20001))
+
+
+def test_landing_odd_rows_and_outcomes(spark, tmp_path):
+    _as_landed(tmp_path, {"t/odd.csv": b'A,B\n1,2,3\n4\n5" pipe,"x"y\n', "t/blank.csv": b"\n\nA,B\n\n1,2\n  \n3,4\n\n", "t/open.csv": b'A,B\n1,"never\n2,x\n\n3,y\n',
+                          "t/crlf.csv": b'\xef\xbb\xbfA,B\r\n1,"two\r\nlines"\r\n2,""\r\n', "t/head.csv": b"A,B\n", "t/empty.csv": b"",
+                          "t/wide head.csv": b'"A\nlong",B\n1,2\n', "t/latin.csv": "A\nmañana\n".encode("latin-1")})
+    got = {}
+    for r in landing.read_landing_csv(spark, str(tmp_path)).collect():
+        got.setdefault(r.file_name, {})[r.file_row_number] = json.loads(r.raw_data)
+    assert got == {
+        "t/odd.csv": {1: {"A": "1", "B": "2"}, 2: {"A": "4", "B": None}, 3: {"A": '5" pipe', "B": '"x"y'}},
+        "t/blank.csv": {1: {"A": "1", "B": "2"}, 2: {"A": "3", "B": "4"}},
+        "t/open.csv": {1: {"A": "1", "B": "never"}, 2: {"A": "2", "B": "x"}, 4: {"A": "3", "B": "y"}},
+        "t/crlf.csv": {1: {"A": "1", "B": "two\nlines"}, 2: {"A": "2", "B": None}},
+        "t/wide head.csv": {1: {"A\nlong": "1", "B": "2"}}, "t/latin.csv": {1: {"A": "mañana"}}}
+    kept = landing.read_landing_csv(spark, str(tmp_path), mode="DROPMALFORMED").filter("file_name = 't/odd.csv'").collect()
+    assert [r.file_row_number for r in kept] == [3]
+    with pytest.raises(Exception, match="uneven row"):
+        landing.read_landing_csv(spark, str(tmp_path), mode="FAILFAST").collect()
+    res = {r.file_name: (r.rows_read, r.short_rows, r.long_rows, r.result.split(":")[0]) for r in landing.landing_outcomes(spark, str(tmp_path)).collect()}
+    assert res["t/odd.csv"] == (3, 1, 1, "SUCCESS") and "t/empty.csv" not in res and res["t/head.csv"] == (0, 0, 0, "SUCCESS")
+    assert len(res) == 7
