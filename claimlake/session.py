@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -70,6 +71,13 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def written(df, name: str):
+    """The rows as a table in the shared folder: computed once (a checkpoint computes them twice) and read back."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/claimlake-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def env_cpus(default: int = 8) -> int:
     try:
         return int(os.environ.get("BENCH_CPUS", default))
