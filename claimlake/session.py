@@ -71,9 +71,9 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def written(df, name: str):
+def written(df, name: str, path: str | None = None):
     """The rows as a table in the shared folder: computed once (a checkpoint computes them twice) and read back."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/claimlake-{name}-{uuid.uuid4().hex}"
+    path = path or f"{checkpoint_dir(df.sparkSession).rstrip('/')}/claimlake-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from claimlake.functions.text import file_type
-from claimlake.session import checkpoint_dir
+from claimlake.session import checkpoint_dir, written
 
 
 def _decoded(uri):
@@ -156,11 +156,12 @@ def _names(header):
     return names, numbered
 
 
-def landing_records(lines: DataFrame) -> DataFrame:
+def landing_records(lines: DataFrame, work: str | None = None) -> DataFrame:
     """(path, number, cells, names) of the data records of ``land_lines``: number is 1-based; the header is no record.
 
     Lines meet one small row per split of their file.  Only files with a cell
-    over several lines, or with blank lines, take the longer way.
+    over several lines, or with blank lines, take the longer way; their
+    records are written once (beside ``work``), as every use would put them together again.
     """
     splits = _splits(lines)
     known = lines.drop("utf8").join(splits.withColumnRenamed("utf8", "utf8_file"), ["path", "at"])
@@ -168,7 +169,7 @@ def landing_records(lines: DataFrame) -> DataFrame:
     records = known.filter("plain").filter(place > 0).select("path", place.alias("number"), _text(F.col("line"), F.col("utf8_file")).alias("text"),
                                                             _text(F.col("head"), F.col("utf8_file")).alias("header"))
     if not splits.filter(~F.col("plain")).isEmpty():
-        joined = _joined_records(known.filter(~F.col("plain")).withColumn("place", place))
+        joined = written(_joined_records(known.filter(~F.col("plain")).withColumn("place", place)), "landing-records", work and work + "-records")
         heads = joined.filter("number = 1").select("path", F.col("text").alias("header"))
         records = records.unionByName(joined.filter("number > 1").withColumn("number", F.col("number") - 1).join(heads, "path"))
     names, numbered = _names(F.col("header"))
@@ -207,9 +208,9 @@ def read_landing_csv(spark: SparkSession, root: str, mode: str = "PERMISSIVE", p
     cells beyond the header dropped (PERMISSIVE), such rows go (DROPMALFORMED)
     or stop the read (FAILFAST).  ``paths`` limits the scan to given files
     (streaming micro-batches); ``partition_dirs`` reads ``tpa=x`` folder names
-    as tenant ``x``; ``work`` names the folder of the lines.
+    as tenant ``x``; ``work`` names the folder of the lines (and, with ``-records`` added, of joined ones).
     """
-    records = landing_records(land_lines(spark, root, paths=paths, work=work))
+    records = landing_records(land_lines(spark, root, paths=paths, work=work), work)
     k, n = F.size("names"), F.size("cells")
     if mode.upper() == "DROPMALFORMED":
         records = records.filter(k == n)
@@ -229,7 +230,7 @@ def landing_outcomes(spark: SparkSession, root: str, partition_dirs: bool = Fals
     result text is what the file queue takes.  Files of no bytes are in no
     listing of Spark's and have no row; a queued file without one was not read.
     """
-    records = landing_records(land_lines(spark, root, work=work))
+    records = landing_records(land_lines(spark, root, work=work), work)
     k, n = F.size("names"), F.size("cells")
     read = records.groupBy("path").agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(n < k).alias("short_rows"), F.count_if(n > k).alias("long_rows"))
     read = read.select(below(spark, F.col("path"), root.rstrip("/")).alias("file_name"), "rows_read", "short_rows", "long_rows")

@@ -66,6 +66,7 @@ def ingest_batch(spark: SparkSession, root: str, raw_path: str, paths: list[str]
                                        F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_loaded")), ["file_name"], LEDGER_BUCKETS)
     store.run(name, commit)
     store._delete(lines)
+    store._delete(lines + "-records")
     return len(new)
 
 
