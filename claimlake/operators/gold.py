@@ -183,21 +183,36 @@ def provider_performance(claims: DataFrame, providers: DataFrame | None = None,
 
 def financial_summary(claims: DataFrame) -> DataFrame:
     """GLD-10/11/12: per tpa, fiscal year/month/quarter and claim type, plus an
-    'ALL' claim-type row per period (one GROUPING SETS aggregate)."""
+    'ALL' claim-type row per period.
+
+    Sums and distinct members are taken apart: the sums shrink to one row per
+    period and type before anything moves, only (period, type, member) keys are
+    shuffled for the members; the 'ALL' rows are rolled up from both.
+    """
     c = claims.select("tpa", F.year("service_date").alias("fiscal_year"),
                       F.month("service_date").alias("fiscal_month"),
                       F.quarter("service_date").alias("fiscal_quarter"),
                       "claim_type", "member_id", "billed_amount", "allowed_amount", "paid_amount",
                       (F.col("allowed_amount") - F.col("paid_amount")).alias("member_resp"))
     keys = ["tpa", "fiscal_year", "fiscal_month", "fiscal_quarter"]
-    g = (c.groupingSets([keys + ["claim_type"], keys], *keys, "claim_type")
-          .agg(F.grouping("claim_type").alias("_all"),
-               money_sum("billed_amount").alias("total_billed"),
-               money_sum("allowed_amount").alias("total_allowed"),
-               money_sum("paid_amount").alias("total_paid"),
-               money_sum("member_resp").alias("total_member_responsibility"),
-               F.count(F.lit(1)).alias("claim_count"),
-               F.countDistinct("member_id").alias("member_count")))
+    total = [*keys, F.lit(None).cast(c.schema["claim_type"].dataType).alias("claim_type"), F.lit(1).alias("_all")]
+    money = ["total_billed", "total_allowed", "total_paid", "total_member_responsibility"]
+    sums = c.groupBy(*keys, "claim_type", F.lit(0).alias("_all")).agg(
+        money_sum("billed_amount").alias("total_billed"),
+        money_sum("allowed_amount").alias("total_allowed"),
+        money_sum("paid_amount").alias("total_paid"),
+        money_sum("member_resp").alias("total_member_responsibility"),
+        F.count(F.lit(1)).alias("claim_count"))
+    seen = c.select(*keys, "claim_type", "member_id").distinct()
+    n = F.count("member_id").alias("member_count")
+    members = seen.groupBy(*keys, "claim_type", F.lit(0).alias("_all")).agg(n).unionByName(
+        seen.select(*keys, "member_id").distinct().groupBy(*total).agg(n))
+    none = [F.lit(None).cast(MONEY).alias(m) for m in money] + [F.lit(0).cast("bigint").alias("claim_count")]
+    parts = (sums.select("*", F.lit(0).cast("bigint").alias("member_count"))
+             .unionByName(sums.select(*total, *money, "claim_count", F.lit(0).cast("bigint").alias("member_count")))
+             .unionByName(members.select(*keys, "claim_type", "_all", *none, "member_count")))
+    g = parts.groupBy(*keys, "claim_type", "_all").agg(
+        *[money_sum(m).alias(m) for m in money], F.sum("claim_count").alias("claim_count"), F.sum("member_count").alias("member_count"))
     return g.select(*keys,
                     F.when(F.col("_all") == 1, F.lit("ALL")).otherwise(F.col("claim_type")).alias("claim_type"),
                     "total_billed", "total_allowed", "total_paid", "total_member_responsibility",
