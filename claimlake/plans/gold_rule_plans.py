@@ -10,6 +10,7 @@ from claimlake.operators import gold_rules as gr
 from claimlake.plans import bindings as b
 from claimlake.plans.gold_plans import RISK_CUTS
 from claimlake.plans.registry import ORACLES, register
+from claimlake.session import written
 
 AS_OF = "2001-12-31 00:00:00"
 RUN_ID = "GQ_20011231"
@@ -152,7 +153,9 @@ def quality_results(spark, d):
 
 
 def _metric_views(spark, d):
-    c = b.claims(spark, d)
+    # three views read the claims: joined once, written, and read by each
+    c = written(b.claims(spark, d).select("tpa", "member_id", "provider_id", "claim_type", "service_date", "diagnosis_code",
+                                          "billed_amount", "allowed_amount", "paid_amount"), "metric-claims")
     return {"FINANCIAL_SUMMARY_ALL": gold.financial_summary(c),
             "MEMBER_360_ALL": gold.member_360(c, b.members(spark, d), None, b.CLAIMS_AS_OF, RISK_CUTS),
             "PROVIDER_PERFORMANCE_ALL": gold.provider_performance(c, None, None)}
