@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from claimlake.functions.text import file_type
+from claimlake.operators.joins import broadcast_if_small
 from claimlake.session import checkpoint_dir, written
 
 
@@ -81,10 +82,9 @@ def land_lines(spark: SparkSession, root: str, pattern: str = "(?i).*\\.csv(\\.g
 
 
 def _splits(lines: DataFrame) -> DataFrame:
-    """One row per split of a file: its lines, those of earlier splits, and what the file as a whole is like."""
-    head = F.when(~F.col("blank"), F.col("id"))
+    """One row per split of a file: its lines, those of earlier splits, and what the file as a whole is like (its header by the line's id)."""
     splits = lines.groupBy("path", "at").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.max("open").alias("opens"),
-                                             F.max("blank").alias("blanks"), F.bool_and("utf8").alias("utf8"), F.min_by("line", head).alias("head"))
+                                             F.max("blank").alias("blanks"), F.bool_and("utf8").alias("utf8"), F.min(F.when(~F.col("blank"), F.col("id"))).alias("head"))
     whole, earlier = Window.partitionBy("path"), Window.partitionBy("path").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     return splits.select("path", "at", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
                          F.bool_and("utf8").over(whole).alias("utf8"), F.min_by("head", F.when(F.col("head").isNotNull(), F.col("at"))).over(whole).alias("head"),
@@ -159,12 +159,17 @@ def _names(header):
 def landing_records(lines: DataFrame, work: str | None = None) -> DataFrame:
     """(path, number, cells, names) of the data records of ``land_lines``: number is 1-based; the header is no record.
 
-    Lines meet one small row per split of their file.  Only files with a cell
+    Lines meet one small row per split of their file; these rows and the headers are written once (beside ``work``) and
+    broadcast if those tables are small, so that lines are not moved and sorted by split.  Only files with a cell
     over several lines, or with blank lines, take the longer way; their
     records are written once (beside ``work``), as every use would put them together again.
     """
-    splits = _splits(lines)
-    known = lines.drop("utf8").join(splits.withColumnRenamed("utf8", "utf8_file"), ["path", "at"])
+    beside = work or checkpoint_dir(lines.sparkSession).rstrip("/") + f"/landing-{uuid.uuid4().hex}"
+    splits = written(_splits(lines), "landing-splits", beside + "-splits")
+    ids = broadcast_if_small(splits.select(F.col("head").alias("id")).distinct(), [beside + "-splits"])
+    heads = written(lines.select("path", "id", F.col("line").alias("head")).join(ids, "id").drop("id"), "landing-heads", beside + "-heads")
+    splits = splits.drop("head").join(heads, "path", "left")
+    known = lines.drop("utf8").join(broadcast_if_small(splits.withColumnRenamed("utf8", "utf8_file"), [beside + "-splits", beside + "-heads"]), ["path", "at"])
     place = F.col("id") - F.col("first") + F.col("before")
     records = known.filter("plain").filter(place > 0).select("path", place.alias("number"), _text(F.col("line"), F.col("utf8_file")).alias("text"),
                                                             _text(F.col("head"), F.col("utf8_file")).alias("header"))
@@ -208,7 +213,7 @@ def read_landing_csv(spark: SparkSession, root: str, mode: str = "PERMISSIVE", p
     cells beyond the header dropped (PERMISSIVE), such rows go (DROPMALFORMED)
     or stop the read (FAILFAST).  ``paths`` limits the scan to given files
     (streaming micro-batches); ``partition_dirs`` reads ``tpa=x`` folder names
-    as tenant ``x``; ``work`` names the folder of the lines (and, with ``-records`` added, of joined ones).
+    as tenant ``x``; ``work`` names the folder of the lines (and, with ``-splits``, ``-heads`` and ``-records`` added, of what is known of their splits, of headers and of joined records).
     """
     records = landing_records(land_lines(spark, root, paths=paths, work=work), work)
     k, n = F.size("names"), F.size("cells")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.operators.store import TableSet
+from claimlake.session import open_files
 from claimlake.sources.landing import below, read_landing_csv
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -56,7 +57,8 @@ def ingest_batch(spark: SparkSession, root: str, raw_path: str, paths: list[str]
     name = f"{batch_id}-{uuid.uuid4().hex[:8]}"
     lines = f"{store.root}-lines-{name}"
     rows = read_landing_csv(spark, root, paths=sorted(new.values()), partition_dirs=partition_dirs, work=lines)
-    rows.write.partitionBy("tpa").parquet(f"{raw_path}/batch_id={name}")  # prepared
+    with open_files(spark):  # a split's lines are of one file, so of one tenant
+        rows.write.partitionBy("tpa").parquet(f"{raw_path}/batch_id={name}")  # prepared
 
     def commit(b) -> None:
         back = spark.read.schema(RAW_SCHEMA).parquet(f"{raw_path}/batch_id={name}") if store._children(f"{raw_path}/batch_id={name}") else spark.createDataFrame([], RAW_SCHEMA)
@@ -65,8 +67,8 @@ def ingest_batch(spark: SparkSession, root: str, raw_path: str, paths: list[str]
         b.upsert("files", files.select("file_name", "tpa", F.lit(name).alias("batch_id"), F.when(F.col("n").isNull(), "EMPTY").otherwise("SUCCESS").alias("status"),
                                        F.coalesce("n", F.lit(0)).cast("bigint").alias("rows_loaded")), ["file_name"], LEDGER_BUCKETS)
     store.run(name, commit)
-    store._delete(lines)
-    store._delete(lines + "-records")
+    for work in (lines, lines + "-splits", lines + "-heads", lines + "-records"):
+        store._delete(work)
     return len(new)
 
 
