@@ -61,9 +61,10 @@ def merge_upsert_claims(spark, d):
 @register("tfidf_pairs")
 def tfidf_pairs(spark, d):
     """MAP-12: TF-IDF cosine of raw source fields against the derived definitions."""
-    defs = b.target_schemas(spark, d).select(F.col("table_name").alias("target_table"),
-                                             F.col("column_name").alias("target_column"))
-    return mp.tfidf_scores(b.raw_source_fields(spark, d), defs)
+    p = b.claims_profile(spark, d)  # the claims are joined and read once for both name lists
+    defs = b.target_schemas(spark, d, p).select(F.col("table_name").alias("target_table"),
+                                                F.col("column_name").alias("target_column"))
+    return mp.tfidf_scores(b.raw_source_fields(spark, d, p), defs)
 
 
 @register("dedupe_fuzzy", oracle=r"""
