@@ -18,8 +18,8 @@ select tpa, concat(claim_type, '_CLAIMS') as target_table, cast(received_date as
 from v_claim"""
 
 
-def silver_claims(spark, d):
-    c = b.claims(spark, d)
+def silver_claims(spark, d, claim_rows=None):
+    c = b.claims(spark, d) if claim_rows is None else claim_rows
     y = F.year("service_date").cast("string")
     return c.select("tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table"),
                     F.col("received_date").cast("timestamp_ntz").alias("_load_timestamp"),
@@ -28,8 +28,8 @@ def silver_claims(spark, d):
                     "claim_id", "member_id", "provider_id", "service_date", "billed_amount", "paid_amount")
 
 
-def metrics(spark, d):
-    s = silver_claims(spark, d)
+def metrics(spark, d, claim_rows=None):
+    s = silver_claims(spark, d, claim_rows)
     return q.dq_metrics(s, ["tpa", "target_table", "batch_id"], "_load_timestamp",
                         F.col("measured_timestamp"), F.col("batch_id"))
 
