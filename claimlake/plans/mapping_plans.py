@@ -126,20 +126,21 @@ def word_jaccard_q(spark, d):
                     .alias("word_overlap"))
 
 
-def _auto(spark, d, min_conf=0.6):
-    defs = b.target_schemas(spark, d).select(F.col("table_name").alias("target_table"),
+def _auto(spark, d, profile, min_conf=0.6):
+    defs = b.target_schemas(spark, d, profile).select(F.col("table_name").alias("target_table"),
                                              F.col("column_name").alias("target_column"))
-    return mp.auto_map(b.raw_source_fields(spark, d), defs, 3, min_conf)
+    return mp.auto_map(b.raw_source_fields(spark, d, profile), defs, 3, min_conf)
 
 
 @register("auto_map_scores")
 def auto_map_scores(spark, d):
-    return _auto(spark, d, 0.3)
+    return _auto(spark, d, b.claims_profile(spark, d), 0.3)
 
 
 @register("append_mappings")
 def append_mappings(spark, d):
-    return mp.append_mappings(b.field_mappings(spark, d), _auto(spark, d, 0.6))
+    p = b.claims_profile(spark, d)  # the claims are joined and read once for all three
+    return mp.append_mappings(b.field_mappings(spark, d, p), _auto(spark, d, p, 0.6))
 
 
 @register("mapping_prompts", views=("v_src_fields", "v_defs", "v_claim"), oracle="""
@@ -154,8 +155,9 @@ select a.tpa, a.target_table,
    || '{target_fields}' || chr(10) || 'Answer as JSON.', '{source_fields}', src.src_list), '{target_fields}', tgt.tgt_list) as prompt
 from asks a join src on a.tpa = src.tpa join tgt on a.target_table = tgt.table_name""")
 def mapping_prompts(spark, d):
-    asks = b.claims(spark, d).select("tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table"))
-    return mp.mapping_prompts(b.raw_source_fields(spark, d), b.target_schemas(spark, d), PROMPT, asks)
+    p = b.claims_profile(spark, d)
+    asks = p.select("tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table"))
+    return mp.mapping_prompts(b.raw_source_fields(spark, d, p), b.target_schemas(spark, d, p), PROMPT, asks)
 
 
 @register("parse_responses", views=("v_mappings",), oracle="""
@@ -212,7 +214,8 @@ def duplicate_target_mappings(spark, d):
 select * from v_defs d where not exists (select 1 from v_mappings m where m.target_table = d.table_name
  and m.target_column = d.column_name)""")
 def unmapped_target_fields(spark, d):
-    return mp.unmapped_targets(b.target_schemas(spark, d), b.field_mappings(spark, d))
+    p = b.claims_profile(spark, d, keys=False)
+    return mp.unmapped_targets(b.target_schemas(spark, d, p), b.field_mappings(spark, d, p))
 
 
 @register("validate_mappings", views=("v_defs", "v_mappings"), oracle="""
@@ -228,7 +231,8 @@ select 'INVALID_METHOD', tpa, target_table, target_column, concat('Unknown metho
 from v_mappings where target_table like '%CLAIMS'
  and not coalesce(mapping_method in ('MANUAL','ML_AUTO','LLM_CORTEX','SYSTEM'), false)""")
 def validate_mappings(spark, d):
-    return mp.validate_mappings(b.field_mappings(spark, d), b.target_schemas(spark, d), "%CLAIMS")
+    p = b.claims_profile(spark, d, keys=False)
+    return mp.validate_mappings(b.field_mappings(spark, d, p), b.target_schemas(spark, d, p), "%CLAIMS")
 
 
 @register("mapping_conformance", views=("v_defs", "v_mappings"), oracle=f"""
@@ -239,8 +243,9 @@ select {M_COLS},
   then concat('Target column used by ', count(*) over (partition by tpa, target_table, target_column), ' mappings') end as warning
 from v_mappings m""")
 def mapping_conformance(spark, d):
-    defs = b.target_schemas(spark, d).select("table_name", "column_name")
-    return mp.conformance(b.field_mappings(spark, d), defs)
+    p = b.claims_profile(spark, d, keys=False)
+    defs = b.target_schemas(spark, d, p).select("table_name", "column_name")
+    return mp.conformance(b.field_mappings(spark, d, p), defs)
 
 
 NEW_SQL = """
@@ -258,12 +263,13 @@ select n.tpa, n.target_table, n.target_column, n.source_field,
    then 'target column already mapped' end as error
 from n""")
 def new_mapping_errors(spark, d):
-    asks = b.claims(spark, d).select("tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table")).distinct()
+    p = b.claims_profile(spark, d, keys=False)
+    asks = p.select("tpa", F.concat(F.col("claim_type"), F.lit("_CLAIMS")).alias("target_table")).distinct()
     pairs = F.arrays_zip(F.array(F.lit("CLAIM_ID"), F.lit("SVC_DATE"), F.lit("PROCESSED_DATE")).alias("target_column"),
                          F.array(F.lit("CLAIM_REF"), F.lit("SVC_DT"), F.lit("PROC_TS")).alias("source_field"))
     new = asks.select("tpa", "target_table", F.inline(pairs))
-    defs = b.target_schemas(spark, d).select("table_name", "column_name")
-    return mp.new_mapping_errors(new, b.field_mappings(spark, d), defs)
+    defs = b.target_schemas(spark, d, p).select("table_name", "column_name")
+    return mp.new_mapping_errors(new, b.field_mappings(spark, d, p), defs)
 
 
 @register("column_list", views=("v_defs",), oracle="""
@@ -283,9 +289,10 @@ select tpa, table_name, count(*) as required_columns, count(*) filter (where ok)
  case when count(*) filter (where ok) = count(*) then 'PASS' else 'FAIL' end as status
 from j group by tpa, table_name""")
 def schema_drift(spark, d):
-    m = b.field_mappings(spark, d)
+    p = b.claims_profile(spark, d, keys=False)
+    m = b.field_mappings(spark, d, p)
     existing = m.select("tpa", F.col("target_table").alias("table_name"), F.col("target_column").alias("column_name"))
-    required = b.target_schemas(spark, d).select("table_name", "column_name")
+    required = b.target_schemas(spark, d, p).select("table_name", "column_name")
     return mp.drift_check(required, existing)
 
 
@@ -308,7 +315,8 @@ select t.table_name, coalesce(total_mappings, 0) as total_mappings, coalesce(app
  coalesce(total_mappings, 0) > 0 as has_mappings
 from (select distinct table_name from v_defs) t left join a on t.table_name = a.table_name""")
 def mapping_kpis(spark, d):
-    return mp.mapping_kpis(b.field_mappings(spark, d), b.target_schemas(spark, d))
+    p = b.claims_profile(spark, d, keys=False)
+    return mp.mapping_kpis(b.field_mappings(spark, d, p), b.target_schemas(spark, d, p))
 
 
 @register("drop_table_counts", views=("v_defs", "v_mappings", "v_claim"), oracle="""
@@ -317,5 +325,6 @@ union all select 'mappings', count(*) filter (where target_table = 'DENTAL_CLAIM
 union all select 'rules', count(*) filter (where target_table = 'DENTAL_CLAIMS' and tpa = 'asia') * 9
  from (select distinct tpa, concat(claim_type, '_CLAIMS') as target_table from v_claim)""")
 def drop_table_counts(spark, d):
-    return mp.drop_table_counts(b.target_schemas(spark, d), b.field_mappings(spark, d), b.silver_rules(spark, d),
+    p = b.claims_profile(spark, d, keys=False)
+    return mp.drop_table_counts(b.target_schemas(spark, d, p), b.field_mappings(spark, d, p), b.silver_rules(spark, d, p),
                                 "DENTAL_CLAIMS", "asia")
