@@ -9,6 +9,7 @@ from claimlake.functions.text import norm_name
 from claimlake.operators import mapping as mp
 from claimlake.plans import bindings as b
 from claimlake.plans.registry import register
+from claimlake.session import written
 from claimlake.sources.tables import table
 
 PROMPT = "Map these source fields:\n{source_fields}\nto these target fields:\n{target_fields}\nAnswer as JSON."
@@ -58,9 +59,14 @@ def conform_claims(spark, d):
     for struct in structs.values():
         for name, t, *_ in struct:
             types.setdefault(name, set()).add(t)
-    src, out = b.claim_strings(spark, d), None
+    alike = {}  # tables of one structure are conformed by one pass
     for t, struct in structs.items():
-        one = mp.conform_to_schema(src.filter(F.col("table_name") == t), struct, as_of=b.CLAIMS_AS_OF, keep=["tpa", "table_name"])
+        alike.setdefault(tuple(struct), []).append(t)
+    src, out = b.claim_strings(spark, d), None
+    if len(alike) > 1:
+        src = written(src, "claim-strings")  # read by several passes: joined once
+    for struct, tables in alike.items():
+        one = mp.conform_to_schema(src.filter(F.col("table_name").isin(tables)), struct, as_of=b.CLAIMS_AS_OF, keep=["tpa", "table_name"])
         one = one.withColumns({name: F.col(name).cast("string") for name, *_ in struct if len(types[name]) > 1})
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
     return out
