@@ -336,6 +336,23 @@ def test_corrections_until_rules_hold(spark):
     assert sorted((r.id, r.step, r.rule_id, r.mended) for r in audit) == [(2, 0, "A", True), (3, 0, "A", True), (3, 1, "B", True), (4, 0, "A", True), (4, 1, "C", False), (8, 0, "C", False), (9, 0, "B", True)]
 
 
+def test_corrections_are_listed_in_one_step(spark):
+    rules = spark.createDataFrame([("A", "t", "T", "DATA_QUALITY", "a", "a <= b", "CORRECT", 1, True, "b", None),
+                                   ("B", "t", "T", "DATA_QUALITY", "b", "b >= c", "CORRECT", 2, True, "c", None),
+                                   ("C", "t", "T", "DATA_QUALITY", "c", "c >= 0 and a < 9", "CORRECT", 3, True, "0", None)], RULE_SCHEMA)
+    df = spark.createDataFrame([(1, "t", 5, 1, -3), (2, "t", 0, 1, 1), (3, "t", None, -2, -1), (4, "t", 9, 2, 3)], "id int, tpa string, a int, b int, c int")
+    out, errors = ru.apply_rules(df, rules, "2024-01-01")
+    assert not errors and out.columns == [*df.columns, "_corrections", "_failed_rules", "_failed_actions"]
+    # the steps carry flags and values; the list of structs is not copied from step to step
+    assert sum("_corrections" in x and "struct(rule_id" in x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n")) == 1
+    got = {r.id: ((r.a, r.b, r.c), [tuple(c) for c in r._corrections], r._failed_rules) for r in out.collect()}
+    assert got == {
+        1: ((1, 1, 0), [("A", "a", "5", "1"), ("C", "c", "-3", "0")], []),
+        2: ((0, 1, 1), [], []),
+        3: ((-2, -1, 0), [("A", "a", None, "-2"), ("B", "b", "-2", "-1"), ("C", "c", "-1", "0")], ["B"]),
+        4: ((2, 3, 3), [("A", "a", "9", "2"), ("B", "b", "2", "3")], [])}
+
+
 def test_rule_plan_does_not_grow_with_tenants(spark):
     def plan(n):
         rows = [(f"R{i}", f"t{t}", "T", "DATA_QUALITY", "a", f"a > {i}", "FLAG", i, True, None, None) for t in range(n) for i in range(4)]
