@@ -121,3 +121,11 @@ def test_number_marks_are_the_casts(spark):
                     (F.col("v").isNotNull() & F.col("v").try_cast("date").isNull()).alias("undated")).collect()
     for r in got:
         assert r.m == r.text + 2 * r.undated + 4 * (r.v is not None and len(r.v) > 50) + 16 * (r.v is None), r
+
+
+@pytest.mark.parametrize("name", ["corrected_rows", "correction_audit", "dq_rule_failures", "business_logic_cols", "rule_routing_counts", "quarantine_rows"])
+def test_claims_are_joined_once_for_rules_and_rows(spark, sf_dir, name, monkeypatch):
+    from claimlake.plans import bindings as b
+    calls, claims = [], b.claims
+    monkeypatch.setattr(b, "claims", lambda *a, **k: calls.append(a) or claims(*a, **k))
+    assert "lineitem.parquet" not in _plan(E.queries()[name](spark, sf_dir)) and len(calls) == 1
