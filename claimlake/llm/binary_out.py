@@ -28,9 +28,11 @@ from pyspark.sql.window import Window
 
 from claimlake.llm import common
 from claimlake.llm.encoding import encoder
+from claimlake.session import arrow_bytes
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masking rule
 HEAD, TAIL = 12, 4
+BATCH_BYTES = 4 << 20  # texts or ids that a task holds at once; a longer record is a batch of its own
 INDEX = "doc_id bigint, shard int, file string, offset bigint, length bigint, first bigint, n_tokens bigint, width int"
 
 
@@ -102,28 +104,38 @@ def write_records(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     fs, root = file_system(path)
     fs.create_dir(root, recursive=True)
     n = common.shuffle_width(docs.sparkSession)
+    # a batch of texts is held by the JVM and by Python several times over, so it is bounded by bytes
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    rows.mapInArrow(_write(path, tokenizer_path, end_id), INDEX).write.mode("overwrite").parquet(f"{path}/index")
+    with arrow_bytes(docs.sparkSession, BATCH_BYTES):
+        rows.mapInArrow(_write(path, tokenizer_path, end_id), INDEX).write.mode("overwrite").parquet(f"{path}/index")
 
 
 def read_index(spark, path: str) -> DataFrame:
     return spark.read.schema(INDEX).parquet(f"{path}/index")
 
 
+def _with_ids(rows: pa.RecordBatch, ids: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*rows.columns, pa.array(ids, pa.binary())], [*rows.schema.names, "ids"])
+
+
 def _read(uri: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = file_system(uri)
         at, f = None, None
         for b in batches:
-            ids = []
+            ids, done, held = [], 0, 0
             for name, offset, length, width in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length", "width"))):
+                if ids and held + length // width * 4 > BATCH_BYTES:
+                    yield _with_ids(b.slice(done, len(ids)), ids)
+                    ids, done, held = [], done + len(ids), 0
                 if name != at:
                     if f is not None:
                         f.close()
                     at, f = name, fs.open_input_file(f"{root}/{name}")
                 payload = unframe(f.read_at(HEAD + length + TAIL, offset))
                 ids.append(np.frombuffer(payload, dtype=f"<u{width}").astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.binary())], [*b.schema.names, "ids"])
+                held += len(ids[-1])
+            yield _with_ids(b.slice(done), ids)
         if f is not None:
             f.close()
     return run

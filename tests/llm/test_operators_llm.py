@@ -461,6 +461,36 @@ def test_records_round_trip(spark, docs, library, tmp_path):
     assert binary_out.read_records(binary_out.read_index(spark, path), path).count() == len(rows)
 
 
+def test_records_go_through_batches_of_bounded_bytes(spark, tmp_path, monkeypatch):
+    most, seen, write = 1 << 16, tmp_path / "seen", binary_out._write
+    seen.mkdir()
+
+    def watched(*args):
+        run = write(*args)
+
+        def noted(batches):
+            for b in batches:
+                with open(f"{seen}/{b.column(0)[0].as_py()}", "w") as f:
+                    f.write(str(b.nbytes))
+                yield b
+        return lambda batches: run(noted(batches))
+    monkeypatch.setattr(binary_out, "BATCH_BYTES", most)
+    monkeypatch.setattr(binary_out, "_write", watched)
+    docs = spark.range(0, 2000, 1, 1).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 700, F.expr("repeat('long text ', 20000)"))
+                                             .otherwise(F.expr("concat(id, repeat(' some words', 40))")).alias("text"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, path = spark.conf.get(key), str(tmp_path / "records")
+    binary_out.write_records(docs, path, TOK)
+    assert spark.conf.get(key) == before
+    sizes = sorted(int(x.read_text()) for x in seen.iterdir())
+    assert len(sizes) > 10 and sizes[-2] < 2 * most < sizes[-1]  # the long text is over the bound by itself
+    rows = binary_out.read_index(spark, path).orderBy("doc_id").toArrow().combine_chunks().to_batches()
+    got = [b for b in binary_out._read(path)(iter(rows))]
+    assert len(got) > 10 and all(b.num_rows == 1 or sum(map(len, b.column("ids").to_pylist())) <= most for b in got)
+    assert [i for b in got for i in b.column("doc_id").to_pylist()] == list(range(2000))
+    assert [len(x) // 4 for b in got for x in b.column("ids").to_pylist()] == [n for b in rows for n in b.column("n_tokens").to_pylist()]
+
+
 def test_records_of_nothing(spark, tmp_path):
     path = f"file://{tmp_path}/none"
     binary_out.write_records(cases.empty_docs(spark), path, TOK)
