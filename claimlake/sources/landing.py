@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 
 from claimlake.functions.text import file_type
 from claimlake.operators.joins import broadcast_if_small
-from claimlake.session import checkpoint_dir, written
+from claimlake.session import checkpoint_dir, write_work, written
 
 
 def _decoded(uri):
@@ -77,7 +77,7 @@ def land_lines(spark: SparkSession, root: str, pattern: str = "(?i).*\\.csv(\\.g
                          v.rlike(r"\A" + _OPENS).cast("int").alias("open"),
                          v.rlike(r'\A(?:[^"]++|"")*+(?:\z|"[^,]*+,' + _OPENS + ")").cast("int").alias("inside"))
     work = work or checkpoint_dir(spark).rstrip("/") + f"/landing-lines-{uuid.uuid4().hex}"
-    lines.write.parquet(work)
+    write_work(lines, work)
     return spark.read.schema(lines.schema).parquet(work)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.operators.store import TableSet
-from claimlake.session import open_files
+from claimlake.session import open_files, write_work
 from claimlake.sources.landing import below, read_landing_csv
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -58,7 +58,7 @@ def ingest_batch(spark: SparkSession, root: str, raw_path: str, paths: list[str]
     lines = f"{store.root}-lines-{name}"
     rows = read_landing_csv(spark, root, paths=sorted(new.values()), partition_dirs=partition_dirs, work=lines)
     with open_files(spark):  # a split's lines are of one file, so of one tenant
-        rows.write.partitionBy("tpa").parquet(f"{raw_path}/batch_id={name}")  # prepared
+        write_work(rows, f"{raw_path}/batch_id={name}", ["tpa"])  # prepared
 
     def commit(b) -> None:
         back = spark.read.schema(RAW_SCHEMA).parquet(f"{raw_path}/batch_id={name}") if store._children(f"{raw_path}/batch_id={name}") else spark.createDataFrame([], RAW_SCHEMA)
